@@ -15,14 +15,14 @@ def running_total(
 ) -> DataFrame:
     """Add the sum of ``value`` over the earlier rows of the same group, in ``order``.
 
-    The rows are range-partitioned on (group, order), so a group of any size is cut into even chunks. The
-    chunks are written once, which fixes their borders; a chunk's start is the total of the chunks before
+    Give it narrow rows: they are written once, as finding the chunk borders reads them a second time. They
+    are range-partitioned on (group, order), so a group of any size is cut into even chunks. The
+    chunks are written as well, which fixes their borders; a chunk's start is the total of the chunks before
     it (one row per chunk), and inside a chunk an ordinary window runs.
     """
     keys = [*groups, *order]
-    chunked = stage(
-        df.repartitionByRange(*keys).withColumn("__chunk", F.spark_partition_id()), "chunks"
-    )
+    rows = stage(df, "rows")
+    chunked = stage(rows.repartitionByRange(*keys).withColumn("__chunk", F.spark_partition_id()), "chunks")
     before = Window.partitionBy(*groups).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         chunked.groupBy(*groups, "__chunk")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import or_
 
@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 MAX_HOT_KEYS = 1000
 # A sketch of this many counters finds every key holding more than 0.1 % of the rows.
 _TRACKED = 10_000
-_NULL_SPREAD = 4096
+# A key is hot from this share of the rows and this many rows on.
+MIN_HOT_SHARE = 0.002
+MIN_HOT_ROWS = 1_000_000
+# Tasks a hot key is dealt over.
+COPIES = 64
 
 
 def _any_null(columns: Sequence[str]) -> Column:
@@ -24,17 +28,21 @@ def key_hash(columns: Sequence[str]) -> Column:
     return F.xxhash64(*columns)
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], min_share: float = 0.002, min_rows: int = 1_000_000) -> list[int]:
-    """Hashes of the keys that hold at least ``min_share`` of the rows and ``min_rows`` rows.
+def hot_keys(
+    rows: DataFrame, units_of: Callable[[DataFrame], DataFrame], on: Sequence[str], sample: float = 0.02
+) -> list[int]:
+    """Hashes of the keys that hold a noticeable share of the units of ``rows``.
 
-    One pass with a frequent-items sketch: tasks send a sketch each, no rows are shuffled. The answer only
-    steers where rows go, never which rows a join returns.
+    A frequent-items sketch over the units of a sample of the rows: tasks send a sketch each, no rows are
+    shuffled. The answer only steers where rows go, never which rows a join returns, so a key the sample
+    missed costs time at worst (adaptive skew handling still splits its partition).
     """
-    whole = df.where(~_any_null(on)).select(key_hash(on).alias("h")).agg(
+    units = units_of(rows.sample(sample, seed=1))
+    found = units.where(~_any_null(on)).select(key_hash(on).alias("h")).agg(
         F.count("*").alias("n"), F.expr(f"approx_top_k(h, {MAX_HOT_KEYS}, {_TRACKED})").alias("top")
     ).first()
-    floor = max(min_rows, min_share * whole["n"])
-    return [entry["item"] for entry in whole["top"] or [] if entry["count"] >= floor]
+    floor = max(MIN_HOT_ROWS * sample, MIN_HOT_SHARE * found["n"])
+    return [entry["item"] for entry in found["top"] or [] if entry["count"] >= floor]
 
 
 def lookup_join(
@@ -43,21 +51,26 @@ def lookup_join(
     on: Sequence[str],
     spread: Column,
     hot: Sequence[int] = (),
-    copies: int = 64,
     hash_of: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Left join of ``left`` with ``right``, which holds one row per key.
+    """Left join of ``left`` with ``right``, which holds one row per key ``on`` (strings first).
 
-    Rows of a hot key are dealt over ``copies`` salts by ``spread`` and the matching row of ``right`` is
-    repeated for each salt. Rows with a null key, which match nothing, are dealt out as well instead of
-    meeting in one task. ``hot`` holds hashes of the columns ``hash_of`` (default: of the key). The strategy (broadcast or sort-merge) is left to the optimizer.
+    ``hot`` holds hashes of the columns ``hash_of`` (default: of the key). Rows of a hot key are dealt over
+    ``COPIES`` salts by ``spread`` and the matching row of ``right`` is repeated for each salt. Rows without
+    a text match nothing; their first key column is replaced by a spread value, so that they do not meet in
+    one task. The strategy (broadcast or sort-merge) is left to the optimizer.
     """
-    salt = F.when(_any_null(on), F.pmod(spread, F.lit(_NULL_SPREAD)))
-    salts = F.array(F.lit(0))
+    first, *others = on
+    dealt = F.when(F.col("text").isNull(), spread.cast("string")).otherwise(F.col(first))
+    left = left.withColumn("__first", dealt)
+    right = right.withColumnRenamed(first, "__first")
+    keys = ["__first", *others]
     if hot:
-        is_hot = key_hash(hash_of or on).isin(list(hot))
-        salt = salt.when(is_hot, F.pmod(spread, F.lit(copies)))
-        salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(copies - 1))).otherwise(salts)
-    salted_left = left.withColumn("__salt", salt.otherwise(F.lit(0)).cast("int"))
-    salted_right = right.withColumn("__salt", F.explode(salts)) if hot else right.withColumn("__salt", F.lit(0))
-    return salted_left.join(salted_right, [*on, "__salt"], "left").drop("__salt")
+        hash_columns = hash_of or on
+        is_hot = key_hash(hash_columns).isin(list(hot))
+        left = left.withColumn("__salt", F.when(is_hot, F.pmod(spread, F.lit(COPIES)).cast("int")).otherwise(0))
+        is_hot = key_hash(["__first" if c == first else c for c in hash_columns]).isin(list(hot))
+        every = F.sequence(F.lit(0), F.lit(COPIES - 1))
+        right = right.withColumn("__salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
+        keys.append("__salt")
+    return left.join(right, keys, "left").drop("__first", "__salt")

@@ -135,11 +135,14 @@ def _translate_by_lookup(
     rebalance: Sequence[str] | None,
 ) -> DataFrame:
     by_word = isinstance(backend, LexiconBackend)
-    units = explode_units(df, keys, cutting, words=by_word).withColumnRenamed("text", "__unit")
-    units = units.withColumn("text", F.lower("__unit") if by_word else F.col("__unit"))
+
+    def units_of(rows: DataFrame) -> DataFrame:
+        units = explode_units(rows, keys, cutting, words=by_word).withColumnRenamed("text", "__unit")
+        return units.withColumn("text", F.lower("__unit") if by_word else F.col("__unit"))
+
     if hot is None:
-        hot = hot_keys(units, ["source", "text"])
-    units = _with_block(units, targets)
+        hot = hot_keys(df, units_of, ["source", "text"])
+    units = _with_block(units_of(df), targets)
     side = _lookup_side(backend.table, targets)
     joined = lookup_join(
         units,

@@ -119,7 +119,7 @@ def source_copy(spark, sf_dir):
 def resolve_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
     named = registry.codes_to_names(docs, "lang", registry.languages(spark, registry.CLOUD), "language")
-    flores = registry.languages(spark, registry.FLORES)
+    flores = registry.canonical_languages(spark, registry.FLORES)
     return registry.names_to_codes(named, "language", flores, "flores_code").select(
         "doc_id", "lang", "language", "flores_code"
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from glossaflow.operators.backends import LexiconBackend, MemoryBackend
 from glossaflow.operators.translate import SENTENCES, explode_units
-from glossaflow.registry.languages import CLOUD, FLORES, codes_to_names, languages, names_to_codes
+from glossaflow.registry.languages import CLOUD, FLORES, canonical_languages, codes_to_names, languages, names_to_codes
 
 TARGETS = ["arz_Arab", "fra_Latn", "zul_Latn"]
 # Longest list of texts in one request; longer conversations become several requests.
@@ -19,8 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_rows(df: DataFrame, key: str) -> DataFrame:
-    """Deal a table out to all cores when it was read as fewer partitions (one large row group)."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    """Deal a scan out to all cores if it has fewer partitions than that (a table in one row group)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def _split_of(row_id: str) -> Column:
@@ -34,7 +35,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("row_id"), _split_of("doc_id").alias("split"), "lang", "text"
     )
     named = codes_to_names(spread_rows(docs, "row_id"), "lang", languages(spark, CLOUD), "language")
-    coded = names_to_codes(named, "language", languages(spark, FLORES), "source")
+    coded = names_to_codes(named, "language", canonical_languages(spark, FLORES), "source")
     return coded.select("row_id", "split", "source", "text")
 
 

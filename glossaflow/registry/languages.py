@@ -62,9 +62,15 @@ def canonical_codes(registry: DataFrame) -> DataFrame:
     return registry.groupBy("system", "name").agg(F.max_by("code", "ordinal").alias("code"))
 
 
-def names_to_codes(df: DataFrame, name_column: str, registry: DataFrame, out: str) -> DataFrame:
-    """Add the code of the language named in ``name_column``; null when the registry does not know it."""
-    lookup = canonical_codes(registry).select(F.col("name").alias(name_column), F.col("code").alias(out))
+def canonical_languages(spark: SparkSession, system: str) -> DataFrame:
+    """:func:`canonical_codes` of a packaged registry, without a job."""
+    table = {name: code for code, name in (FLORES_LANGUAGES if system == FLORES else CLOUD_LANGUAGES)}
+    return small_table(spark, {"name": list(table), "code": list(table.values())})
+
+
+def names_to_codes(df: DataFrame, name_column: str, canonical: DataFrame, out: str) -> DataFrame:
+    """Add the code of the language named in ``name_column``; null when it is not in ``canonical``."""
+    lookup = canonical.select(F.col("name").alias(name_column), F.col("code").alias(out))
     return df.join(F.broadcast(lookup), name_column, "left")
 
 
@@ -77,7 +83,7 @@ def codes_to_names(df: DataFrame, code_column: str, registry: DataFrame, out: st
 def normalise_codes(df: DataFrame, code_column: str, registry: DataFrame, out: str) -> DataFrame:
     """Code to name and back, which replaces alias codes (``zh``, ``iw``, ``jw``) by the canonical one."""
     named = codes_to_names(df, code_column, registry, "__name")
-    return names_to_codes(named, "__name", registry, out).drop("__name")
+    return names_to_codes(named, "__name", canonical_codes(registry), out).drop("__name")
 
 
 def mt5_matches(spark: SparkSession, whole_word: bool = False) -> DataFrame:

@@ -13,6 +13,16 @@ from glossaflow.operators.skew import hot_keys, lookup_join
 REQUEST_SCHEMA = "request_id bigint, source_language string, target_language string, texts array<string>"
 
 
+def request_texts(requests: DataFrame) -> DataFrame:
+    """One row per text of a request; a request without texts keeps one row."""
+    return requests.select(
+        "request_id",
+        F.col("source_language").alias("source"),
+        F.col("target_language").alias("target"),
+        F.posexplode_outer("texts").alias("pos", "text"),
+    )
+
+
 def translate_requests(
     requests: DataFrame, backend: NativeBackend | MemoryBackend | FunctionBackend
 ) -> DataFrame:
@@ -27,18 +37,13 @@ def translate_requests(
                 "texts", lambda t: backend.column(t, F.col("source_language"), F.col("target_language"))
             ).alias("translated_texts"),
         )
-    texts = requests.select(
-        "request_id",
-        F.col("source_language").alias("source"),
-        F.col("target_language").alias("target"),
-        F.posexplode_outer("texts").alias("pos", "text"),
-    )
+    texts = request_texts(requests)
     spread = F.xxhash64("request_id", "pos")
     if isinstance(backend, FunctionBackend):
         answered = apply_function(texts, backend, spread)
     else:
         key = ["source", "target", "text"]
-        found = lookup_join(texts, best_candidates(backend.table), key, spread, hot_keys(texts, key))
+        found = lookup_join(texts, best_candidates(backend.table), key, spread, hot_keys(requests, request_texts, key))
         kept = F.coalesce("translation", "text") if backend.keep_missing else F.col("translation")
         answered = found.withColumn("translation", kept)
     numbered = F.when(F.col("pos").isNotNull(), F.struct("pos", "translation"))
