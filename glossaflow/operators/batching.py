@@ -87,17 +87,26 @@ _RESULT = [
 ]
 
 
-def apply_function(df: DataFrame, backend: FunctionBackend, spread: Column) -> DataFrame:
+def callers(df: DataFrame, backend: FunctionBackend) -> int:
+    """Number of partitions to call the backend from."""
+    return backend.parallelism or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def deal_by_pair(df: DataFrame, backend: FunctionBackend, spread: Column) -> DataFrame:
+    """Partition ``(source, target, ...)`` rows by language pair, salted with ``spread``.
+
+    A popular pair, or a text that occurs very often, is shared by many tasks.
+    """
+    parts = callers(df, backend)
+    return df.repartition(parts, "source", "target", F.pmod(spread, F.lit(parts)))
+
+
+def apply_function(df: DataFrame, backend: FunctionBackend) -> DataFrame:
     """Translate ``(source, target, text, ...)`` rows; adds translation, status, attempts and error.
 
-    A partition is sorted by language pair, so that calls are full and see one pair each. Pairs are salted
-    with ``spread``: a popular pair, or a text that occurs very often, is shared by many tasks. Null texts
-    are answered with null and not sent.
+    Each partition is sorted by language pair, so that calls are full and see one pair each. Null texts are
+    answered with null and not sent.
     """
-    parts = backend.parallelism or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartition(parts, "source", "target", F.pmod(spread, F.lit(parts))).sortWithinPartitions(
-        "source", "target"
-    )
     schema = StructType([*df.schema.fields, *_RESULT])
     arrow = to_arrow_schema(schema)
 
@@ -123,7 +132,7 @@ def apply_function(df: DataFrame, backend: FunctionBackend, spread: Column) -> D
                 continue
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=arrow.names)
 
-    return dealt.mapInArrow(run, schema)
+    return df.sortWithinPartitions("source", "target").mapInArrow(run, schema)
 
 
 def batched_map(

@@ -18,6 +18,8 @@ MIN_HOT_SHARE = 0.002
 MIN_HOT_ROWS = 1_000_000
 # Tasks a hot key is dealt over.
 COPIES = 64
+# Largest table that is broadcast after its size was measured.
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def _any_null(columns: Sequence[str]) -> Column:
@@ -45,6 +47,12 @@ def hot_keys(
     return [entry["item"] for entry in found["top"] or [] if entry["count"] >= floor]
 
 
+def fits_broadcast(table: DataFrame, columns: Sequence[str]) -> bool:
+    """Whether the strings of ``columns`` are few enough to be sent to every executor. Reads the table once."""
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in columns), F.lit(32))
+    return (table.agg(F.sum(size.cast("long"))).first()[0] or 0) <= BROADCAST_BYTES
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,

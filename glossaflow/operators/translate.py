@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from glossaflow.functions.text import ENGLISH, SplitRules, merge_sentences, split_sentences, strip_newlines
 from glossaflow.operators.backends import LexiconBackend, MemoryBackend, NativeBackend, candidate_rank
-from glossaflow.operators.batching import FunctionBackend, apply_function
-from glossaflow.operators.skew import hot_keys, lookup_join
+from glossaflow.operators.batching import FunctionBackend, apply_function, callers
+from glossaflow.operators.skew import MAX_HOT_KEYS, MIN_HOT_ROWS, fits_broadcast, hot_keys, key_hash, lookup_join
 from glossaflow.registry.languages import small_table
 from glossaflow.scratch import scratch_folder
 
@@ -140,10 +140,13 @@ def _translate_by_lookup(
         units = explode_units(rows, keys, cutting, words=by_word).withColumnRenamed("text", "__unit")
         return units.withColumn("text", F.lower("__unit") if by_word else F.col("__unit"))
 
-    if hot is None:
+    side = _lookup_side(backend.table, targets)
+    if by_word and fits_broadcast(backend.table, ["source", "target", "text", "translation"]):
+        # words stay where they are; a longer word list takes the salted join
+        side, hot = F.broadcast(side), ()
+    elif hot is None:
         hot = hot_keys(df, units_of, ["source", "text"])
     units = _with_block(units_of(df), targets)
-    side = _lookup_side(backend.table, targets)
     joined = lookup_join(
         units,
         side,
@@ -244,23 +247,34 @@ def translate_units(
     """
     spark = units.sparkSession
     store = store or f"{scratch_folder(spark)}/translations"
-    wanted = (
-        units.where(F.col("text").isNotNull())
-        .groupBy("source", "text")
-        .agg(F.count("*").alias("n_rows"))
-        .select("source", "text", "n_rows", F.explode(F.array(*[F.lit(t) for t in targets])).alias("target"))
-        .where(F.col("target") != F.col("source"))
-        .select("source", "target", "text", "n_rows")
-    )
+    texts = units.where(F.col("text").isNotNull()).groupBy("source", "text").agg(F.count("*").alias("n_rows"))
+    wanted = F.array(*[F.lit(t) for t in targets])
     done = read_store(spark, store)
     if done is not None:
-        answered = done.where(F.col("status") == "ok").select("source", "target", "text")
-        wanted = wanted.join(answered, ["source", "target", "text"], "left_anti")
-    answers = apply_function(wanted, backend, F.xxhash64("text"))
+        # one set of answered targets per text: the texts keep their partitioning and are not yet fanned out
+        answered = done.where(F.col("status") == "ok").groupBy("source", "text").agg(F.collect_set("target").alias("__done"))
+        texts = texts.join(answered, ["source", "text"], "left")
+        wanted = F.array_except(wanted, F.coalesce("__done", F.array().cast("array<string>")))
+    # texts are dealt out before the fan-out, which then needs no shuffle; adaptive coalescing, which counts
+    # bytes and not calls, does not touch this partitioning
+    calls = (
+        texts.select("source", "text", "n_rows", F.array_remove(wanted, F.col("source")).alias("__targets"))
+        .where(F.size("__targets") > 0)
+        .repartition(callers(units, backend), "source", "text")
+        .select("source", F.explode("__targets").alias("target"), "text", "n_rows")
+    )
+    answers = apply_function(calls, backend)
     answers.write.mode("append").parquet(store)
     return spark.read.schema(answers.schema).parquet(store)
 
 
+def hot_answers(answers: DataFrame) -> list[int]:
+    """Hashes of the texts that occur most, from the counts stored with the answers."""
+    often = answers.where(F.col("n_rows") >= MIN_HOT_ROWS)
+    most = often.groupBy("source", "text").agg(F.max("n_rows").alias("n_rows")).orderBy(F.desc("n_rows"))
+    return [r["h"] for r in most.limit(MAX_HOT_KEYS).select(key_hash(["source", "text"]).alias("h")).collect()]
+
+
 def read_store(spark: SparkSession, store: str) -> DataFrame | None:
     """The stored answers, or None before the first run."""
     try:
@@ -301,9 +315,10 @@ def translate(
         out = _translate_natively(df, keys, targets, backend, cutting, rebalance)
     else:
         if isinstance(backend, FunctionBackend):
-            answers = translate_units(
-                explode_units(df, keys, cutting).select("source", "text"), targets, backend, store
-            ).where(F.col("status") == "ok")
+            units = explode_units(df, keys, cutting).select("source", "text")
+            answers = translate_units(units, targets, backend, store).where(F.col("status") == "ok")
+            if hot is None:
+                hot = hot_answers(answers)
             backend = MemoryBackend(answers, backend.name, keep_missing=False)
         out = _translate_by_lookup(df, keys, targets, backend, cutting, hot, rebalance)
     if not copy_own_language:

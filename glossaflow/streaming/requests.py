@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from glossaflow.operators.backends import MemoryBackend, NativeBackend, best_candidates
-from glossaflow.operators.batching import FunctionBackend, apply_function
+from glossaflow.operators.batching import FunctionBackend, apply_function, deal_by_pair
 from glossaflow.operators.skew import hot_keys, lookup_join
 
 REQUEST_SCHEMA = "request_id bigint, source_language string, target_language string, texts array<string>"
@@ -40,7 +40,7 @@ def translate_requests(
     texts = request_texts(requests)
     spread = F.xxhash64("request_id", "pos")
     if isinstance(backend, FunctionBackend):
-        answered = apply_function(texts, backend, spread)
+        answered = apply_function(deal_by_pair(texts, backend, spread), backend)
     else:
         key = ["source", "target", "text"]
         found = lookup_join(texts, best_candidates(backend.table), key, spread, hot_keys(requests, request_texts, key))
