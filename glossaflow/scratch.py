@@ -4,24 +4,29 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="glossaflow-")
+
+
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder below the one named in ``spark.checkpoint.dir``.
+    """A new folder below the one named in ``spark.checkpoint.dir`` (or set on the context).
 
-    A session without that setting gets a temporary folder in local mode (tests) and an error elsewhere,
-    since executors on other machines could not read it.
+    A session without either gets a temporary folder in local mode (tests) and an error elsewhere, since
+    executors on other machines could not read it.
     """
-    root = spark.conf.get(CHECKPOINT_SETTING, None)
+    root = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="glossaflow-")
-        spark.conf.set(CHECKPOINT_SETTING, root)
+        root = _local_root()
     return f"{root.rstrip('/')}/glossaflow/{uuid.uuid4().hex}"
 
 

@@ -1,0 +1,55 @@
+import pytest
+
+from glossaflow.operators.backends import TAG, MemoryBackend
+from glossaflow.operators.batching import FunctionBackend
+from glossaflow.streaming.requests import REQUEST_SCHEMA, read_answers, stream_requests, translate_requests
+
+REQUESTS = [
+    (1, "eng_Latn", "fra_Latn", ["Hello", "Bye", "Hello"]),
+    (2, "eng_Latn", "zul_Latn", ["Hello"]),
+    (3, "fra_Latn", "eng_Latn", []),
+    (4, "eng_Latn", "fra_Latn", ["Unknown", None, ""]),
+    (5, "fra_Latn", "zul_Latn", [str(i) for i in range(100)]),
+]
+
+
+def function_backend():
+    return FunctionBackend(lambda: lambda s, t, texts: [f"{s}>{t} {x}" for x in texts], batch_rows=16)
+
+
+def answers_of(df):
+    return {r["request_id"]: list(r["translated_texts"]) for r in df.collect()}
+
+
+@pytest.mark.parametrize("kind", ["tag", "memory", "function"])
+def test_answers_have_the_length_and_order_of_the_request(spark, kind):
+    memory = spark.createDataFrame(
+        [("eng_Latn", "fra_Latn", "Hello", "Bonjour", 0.5), ("eng_Latn", "fra_Latn", "Hello", "Salut", 0.4)],
+        "source string, target string, text string, translation string, score double",
+    )
+    backend = {"tag": TAG, "memory": MemoryBackend(memory), "function": function_backend()}[kind]
+    got = answers_of(translate_requests(spark.createDataFrame(REQUESTS, REQUEST_SCHEMA), backend))
+    assert {i: len(v) for i, v in got.items()} == {r[0]: len(r[3]) for r in REQUESTS}
+    if kind == "memory":
+        assert got[1] == ["Bonjour", "Bye", "Bonjour"] and got[2] == ["Hello"]
+        assert got[4] == ["Unknown", None, ""]
+    if kind == "function":
+        assert got[5] == [f"fra_Latn>zul_Latn {i}" for i in range(100)]
+        assert got[4] == ["eng_Latn>fra_Latn Unknown", None, "eng_Latn>fra_Latn "]
+
+
+def test_stream_gives_the_batch_result(spark, tmp_path):
+    df = spark.createDataFrame(REQUESTS, REQUEST_SCHEMA)
+    df.repartition(3).write.json(f"{tmp_path}/in")
+    source = spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", 1).json(f"{tmp_path}/in")
+    query = stream_requests(source, function_backend(), f"{tmp_path}/out", f"{tmp_path}/cp", {"availableNow": True})
+    query.awaitTermination()
+    want = answers_of(translate_requests(df, function_backend()))
+    assert answers_of(read_answers(spark, f"{tmp_path}/out")) == want
+    # later requests are answered by a restarted query, earlier ones are not answered twice
+    spark.createDataFrame([(9, "eng_Latn", "fra_Latn", ["Late"])], REQUEST_SCHEMA).write.mode("append").json(f"{tmp_path}/in")
+    source = spark.readStream.schema(REQUEST_SCHEMA).json(f"{tmp_path}/in")
+    stream_requests(source, function_backend(), f"{tmp_path}/out", f"{tmp_path}/cp", {"availableNow": True}).awaitTermination()
+    rows = read_answers(spark, f"{tmp_path}/out")
+    assert answers_of(rows) == {**want, 9: ["eng_Latn>fra_Latn Late"]}
+    assert rows.count() == 6
