@@ -224,6 +224,13 @@ def target_fanout(spark, sf_dir):
     )
 
 
+def translate_all_languages(spark, sf_dir):
+    """Every document in every default target language, as a digest of the translated text."""
+    targets = registry.target_codes(spark, registry.FLORES)
+    translated = translate(documents(spark, sf_dir), ["text"], targets, TAG, copy_own_language=False)
+    return translated.select("row_id", "source", "target", "n_units", F.md5("text").alias("digest"))
+
+
 def translate_sentences(spark, sf_dir):
     return translate(documents(spark, sf_dir), ["text"], TARGETS, memory(spark, sf_dir))
 
@@ -356,6 +363,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sentence_offsets": sentence_offsets,
     "strip_newlines": strip_newlines_query,
     "target_fanout": target_fanout,
+    "translate_all_languages": translate_all_languages,
     "translate_sentences": translate_sentences,
     "translate_lexicon": translate_lexicon,
     "translate_whole": translate_whole,

@@ -26,6 +26,11 @@ class CorpusRun:
     totals: dict[str, int]
     exported: list[str] = field(default_factory=list)
 
+    def record(self) -> DataFrame:
+        """The run as one row ``(path, seconds, n_rows, n_units, n_missed, n_failed)``, to append to a log table."""
+        row = {"path": self.path, "seconds": self.seconds, **self.totals}
+        return self.table.sparkSession.createDataFrame([row])
+
 
 def source_copy(df: DataFrame) -> DataFrame:
     """The untranslated rows, labelled as a translation into their own language."""

@@ -133,9 +133,13 @@ def mt5_unmapped(spark: SparkSession, whole_word: bool = False) -> DataFrame:
 
 
 def mapping_json(mapping: DataFrame) -> DataFrame:
-    """The mapping as one JSON object per language: ``{"code": [["flores code", "flores name"], ...]}``."""
+    """The whole mapping as one JSON object ``{"code": [["flores code", "flores name"], ...], ...}``.
+
+    One row, bounded by the size of the two registries; write it with ``.write.text``.
+    """
     pairs = F.transform("matches", lambda m: F.array(m["code"], m["name"]))
-    return mapping.select("code", F.to_json(F.create_map(F.col("code"), pairs), {"pretty": "true"}).alias("json"))
+    entries = F.array_sort(F.collect_list(F.struct("code", pairs.alias("pairs"))))
+    return mapping.agg(F.to_json(F.map_from_entries(entries), {"pretty": "true"}).alias("json"))
 
 
 def iso_audit(named: DataFrame, iso: DataFrame) -> DataFrame:

@@ -40,7 +40,8 @@ def test_table_holds_translations_and_the_source_copy(data, tmp_path):
     assert got[2, "eng_Latn_to_fra_Latn"]["targets"] is None
     assert "other" not in done.table.columns
     assert done.totals == {"n_rows": 10, "n_units": 12, "n_missed": 0, "n_failed": 0}
-    assert done.seconds > 0
+    record = done.record().first()
+    assert record["n_rows"] == 10 and record["seconds"] > 0 and record["path"] == f"{tmp_path}/out"
     leaf = "dataset=PIQA/pair=eng_Latn_to_fra_Latn/checkpoint=facebook-nllb-200-3.3B/template=finish/run_date=2023-04-05"
     assert Path(f"{tmp_path}/out/{leaf}/split=train").is_dir()
     metrics = {(r["pair"], r["split"]): (r["n_rows"], r["n_units"]) for r in run_metrics(done.table).collect()}

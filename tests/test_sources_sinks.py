@@ -97,7 +97,7 @@ def test_row_ids_are_fixed_once_assigned(spark):
 
 def test_preview_is_the_first_row(spark):
     df = spark.createDataFrame([("a", 3, "x"), ("a", 1, "y"), ("b", 2, "z")], "split string, row_id long, text string")
-    assert rows_of(splits.split_preview(df)) == [("a", 1, "y"), ("b", 2, "z")]
+    assert rows_of(splits.split_preview(df)) == [("a", 1, "y"), ("b", 2, "z")]  # columns as given
 
 
 def test_layout_of_paths(spark):
