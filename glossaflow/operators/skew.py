@@ -53,32 +53,36 @@ def fits_broadcast(table: DataFrame, columns: Sequence[str]) -> bool:
     return (table.agg(F.sum(size.cast("long"))).first()[0] or 0) <= BROADCAST_BYTES
 
 
+def hashed(df: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Add the hash of the key as ``__hash``.
+
+    It leads the join keys: rows are then sorted by a number first, which is much faster than by long
+    strings that begin alike. The strings stay in the key, so hashes that collide do no harm.
+    """
+    return df.withColumn("__hash", key_hash(on))
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
     spread: Column,
     hot: Sequence[int] = (),
-    hash_of: Sequence[str] | None = None,
+    also: Sequence[str] = (),
 ) -> DataFrame:
-    """Left join of ``left`` with ``right``, which holds one row per key ``on`` (strings first).
+    """Left join of ``left`` with ``right``, which is :func:`hashed` on ``on`` and holds one row per key.
 
-    ``hot`` holds hashes of the columns ``hash_of`` (default: of the key). Rows of a hot key are dealt over
+    The key is ``on`` and ``also``; ``hot`` holds hashes of ``on``. Rows of a hot key are dealt over
     ``COPIES`` salts by ``spread`` and the matching row of ``right`` is repeated for each salt. Rows without
-    a text match nothing; their first key column is replaced by a spread value, so that they do not meet in
-    one task. The strategy (broadcast or sort-merge) is left to the optimizer.
+    a ``text`` match nothing; they get ``spread`` for a hash, so that they do not meet in one task. The
+    strategy (broadcast or sort-merge) is left to the optimizer.
     """
-    first, *others = on
-    dealt = F.when(F.col("text").isNull(), spread.cast("string")).otherwise(F.col(first))
-    left = left.withColumn("__first", dealt)
-    right = right.withColumnRenamed(first, "__first")
-    keys = ["__first", *others]
+    keys = ["__hash", *on, *also]
+    left = left.withColumn("__hash", F.when(F.col("text").isNull(), spread).otherwise(key_hash(on)))
     if hot:
-        hash_columns = hash_of or on
-        is_hot = key_hash(hash_columns).isin(list(hot))
-        left = left.withColumn("__salt", F.when(is_hot, F.pmod(spread, F.lit(COPIES)).cast("int")).otherwise(0))
-        is_hot = key_hash(["__first" if c == first else c for c in hash_columns]).isin(list(hot))
+        is_hot = F.col("__hash").isin(list(hot))
         every = F.sequence(F.lit(0), F.lit(COPIES - 1))
+        left = left.withColumn("__salt", F.when(is_hot, F.pmod(spread, F.lit(COPIES)).cast("int")).otherwise(0))
         right = right.withColumn("__salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
         keys.append("__salt")
-    return left.join(right, keys, "left").drop("__first", "__salt")
+    return left.join(right, keys, "left").drop("__hash", "__salt")

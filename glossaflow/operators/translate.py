@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from glossaflow.functions.text import ENGLISH, SplitRules, merge_sentences, split_sentences, strip_newlines
 from glossaflow.operators.backends import LexiconBackend, MemoryBackend, NativeBackend, candidate_rank
 from glossaflow.operators.batching import FunctionBackend, apply_function, callers
-from glossaflow.operators.skew import MAX_HOT_KEYS, MIN_HOT_ROWS, fits_broadcast, hot_keys, key_hash, lookup_join
+from glossaflow.operators.skew import MAX_HOT_KEYS, MIN_HOT_ROWS, fits_broadcast, hashed, hot_keys, key_hash, lookup_join
 from glossaflow.registry.languages import small_table
 from glossaflow.scratch import scratch_folder
 
@@ -120,7 +120,8 @@ def _lookup_side(table: DataFrame, targets: Sequence[str]) -> DataFrame:
         here = F.col("__slot") == slot
         return F.max_by(F.when(here, F.col("translation")), F.when(here, rank))
 
-    return placed.groupBy("source", "text", F.col("__block").cast("int").alias("__block")).agg(
+    placed = hashed(placed.withColumn("__block", F.col("__block").cast("int")), ["source", "text"])
+    return placed.groupBy("__hash", "source", "text", "__block").agg(
         F.array(*[best(i) for i in range(len(blocks[0]))]).alias("__hits")
     )
 
@@ -150,10 +151,10 @@ def _translate_by_lookup(
     joined = lookup_join(
         units,
         side,
-        ["source", "text", "__block"],
+        ["source", "text"],
         F.xxhash64("row_id", "__key", "__pos"),
         hot,
-        hash_of=["source", "text"],
+        also=["__block"],
     )
     unit = F.struct("__key", "__pos", "__unit", "__hits")
     merged = joined.groupBy("row_id", "__block").agg(

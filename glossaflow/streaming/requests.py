@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from glossaflow.operators.backends import MemoryBackend, NativeBackend, best_candidates
 from glossaflow.operators.batching import FunctionBackend, apply_function, deal_by_pair
-from glossaflow.operators.skew import hot_keys, lookup_join
+from glossaflow.operators.skew import hashed, hot_keys, lookup_join
 
 REQUEST_SCHEMA = "request_id bigint, source_language string, target_language string, texts array<string>"
 
@@ -43,7 +43,7 @@ def translate_requests(
         answered = apply_function(deal_by_pair(texts, backend, spread), backend)
     else:
         key = ["source", "target", "text"]
-        found = lookup_join(texts, best_candidates(backend.table), key, spread, hot_keys(requests, request_texts, key))
+        found = lookup_join(texts, hashed(best_candidates(backend.table), key), key, spread, hot_keys(requests, request_texts, key))
         kept = F.coalesce("translation", "text") if backend.keep_missing else F.col("translation")
         answered = found.withColumn("translation", kept)
     numbered = F.when(F.col("pos").isNotNull(), F.struct("pos", "translation"))

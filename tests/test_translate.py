@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from glossaflow.functions.text import split_sentences
 from glossaflow.operators.backends import IDENTITY, TAG, LexiconBackend, MemoryBackend, best_candidates
 from glossaflow.operators.batching import FunctionBackend
-from glossaflow.operators.skew import hot_keys, key_hash, lookup_join
+from glossaflow.operators.skew import hashed, hot_keys, key_hash, lookup_join
 from glossaflow.operators.translate import (
     SENTENCES,
     WHOLE_TEXTS,
@@ -178,7 +178,7 @@ def test_salted_rows_of_a_hot_key_are_spread(spark):
         left = spark.range(1000).select("id", F.lit("s").alias("source"), F.lit("hot").alias("text"))
         absent = F.when(F.col("id") < 0, "x").alias("text")  # a constant null would be optimized away
         nulls = spark.range(1000, 2000).select("id", F.lit("s").alias("source"), absent)
-        right = spark.createDataFrame([("s", "hot", "x")], "source string, text string, v string")
+        right = hashed(spark.createDataFrame([("s", "hot", "x")], "source string, text string, v string"), ["source", "text"])
         hot = [left.select(key_hash(["source", "text"]).alias("h")).first()["h"]]
         joined = lookup_join(left.union(nulls), right, ["source", "text"], F.xxhash64("id"), hot)
         sizes = joined.groupBy(F.spark_partition_id().alias("p"), F.col("v").isNull().alias("miss")).count().collect()
