@@ -36,8 +36,8 @@ def hot_keys(
     """Hashes of the keys that hold a noticeable share of the units of ``rows``.
 
     A frequent-items sketch over the units of a sample of the rows: tasks send a sketch each, no rows are
-    shuffled. The answer only steers where rows go, never which rows a join returns, so a key the sample
-    missed costs time at worst (adaptive skew handling still splits its partition).
+    shuffled. The answer only steers where rows go, never which rows a join returns; a key the sample misses
+    has a small share and costs a little time at worst.
     """
     units = units_of(rows.sample(sample, seed=1))
     found = units.where(~_any_null(on)).select(key_hash(on).alias("h")).agg(

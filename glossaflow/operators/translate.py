@@ -69,6 +69,11 @@ def _block_targets(targets: Sequence[str]) -> Column:
     return F.get(blocks, F.col("__block"))
 
 
+def _block_key(targets: Sequence[str]) -> list[str]:
+    """The block as a key column; a constant one would only keep the table from being joined as it lies."""
+    return ["__block"] if len(_blocks(targets)) > 1 else []
+
+
 def _with_block(df: DataFrame, targets: Sequence[str]) -> DataFrame:
     n = len(_blocks(targets))
     if n == 1:
@@ -121,7 +126,7 @@ def _lookup_side(table: DataFrame, targets: Sequence[str]) -> DataFrame:
         return F.max_by(F.when(here, F.col("translation")), F.when(here, rank))
 
     placed = hashed(placed.withColumn("__block", F.col("__block").cast("int")), ["source", "text"])
-    return placed.groupBy("__hash", "source", "text", "__block").agg(
+    return placed.groupBy("__hash", "source", "text", *_block_key(targets)).agg(
         F.array(*[best(i) for i in range(len(blocks[0]))]).alias("__hits")
     )
 
@@ -154,7 +159,7 @@ def _translate_by_lookup(
         ["source", "text"],
         F.xxhash64("row_id", "__key", "__pos"),
         hot,
-        also=["__block"],
+        also=_block_key(targets),
     )
     unit = F.struct("__key", "__pos", "__unit", "__hits")
     merged = joined.groupBy("row_id", "__block").agg(
@@ -265,7 +270,8 @@ def translate_units(
         .select("source", F.explode("__targets").alias("target"), "text", "n_rows")
     )
     answers = apply_function(calls, backend)
-    answers.write.mode("append").parquet(store)
+    # tasks commit straight into the store, so what was answered before a job failed is kept
+    answers.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(store)
     return spark.read.schema(answers.schema).parquet(store)
 
 
@@ -312,6 +318,9 @@ def translate(
     targets = list(dict.fromkeys(targets))
     if not targets:
         raise ValueError("no target languages")
+    taken = {"target", "n_units", "n_missed", "status"} & set(df.columns)
+    if taken:
+        raise ValueError(f"columns the result adds are already there: {', '.join(sorted(taken))}")
     if isinstance(backend, NativeBackend):
         out = _translate_natively(df, keys, targets, backend, cutting, rebalance)
     else:

@@ -1,4 +1,5 @@
 import sys
+import time
 
 import pytest
 from pyspark import cloudpickle
@@ -231,6 +232,59 @@ def test_stored_answers_are_not_asked_again(spark, texts):
     assert rows == 0
 
 
+def test_answers_given_before_a_job_failed_are_kept(spark):
+    store = f"{scratch_folder(spark)}/store"
+    units = spark.createDataFrame([("s", f"text {i}") for i in range(200)], "source string, text string")
+
+    def breaking():
+        def call(source, target, sentences):
+            if "text 7" in sentences:
+                time.sleep(5)
+                return []
+            return [f"{target}:{s}" for s in sentences]
+
+        return call
+
+    def second():
+        def call(source, target, sentences):
+            return [f"again:{s}" for s in sentences]
+
+        return call
+
+    with pytest.raises(Exception, match="0 translations"):
+        translate_units(units, ["t"], FunctionBackend(breaking, parallelism=8), store)
+    kept = read_store(spark, store).count()
+    assert 0 < kept < 200
+    answers = translate_units(units, ["t"], FunctionBackend(second, parallelism=8), store)
+    assert answers.count() == answers.select("text").distinct().count() == 200
+    assert answers.where("translation like 'again:%'").count() == 200 - kept
+
+
+def test_a_long_word_list_takes_the_salted_join(spark, texts, memory, monkeypatch):
+    import glossaflow.operators.skew as skew
+
+    words = LexiconBackend(
+        spark.createDataFrame([("eng_Latn", "fra_Latn", w, w[::-1], 1.0) for w in ("good", "how", "you?")], COLUMNS)
+    )
+    broadcast = translate(texts, ["a", "b"], TARGETS, words)
+    want = by_key(broadcast, "a", "b", "n_missed")
+    assert "BroadcastHashJoin [__hash" in plan_of(broadcast)
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(skew, "MIN_HOT_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = translate(texts, ["a", "b"], TARGETS, words, hot=[spark.sql("select xxhash64('eng_Latn', 'good')").first()[0]])
+        assert "SortMergeJoin [__hash" in plan_of(joined) and "__salt" in plan_of(joined)
+        assert by_key(joined, "a", "b", "n_missed") == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_columns_the_result_adds_must_be_free(texts):
+    with pytest.raises(ValueError, match="status"):
+        translate(texts.withColumn("status", F.lit("x")), ["a"], TARGETS, TAG)
+
+
 def test_failed_units_make_the_text_null(texts):
     def load():
         def call(source, target, sentences):
