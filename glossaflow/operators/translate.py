@@ -28,6 +28,9 @@ from glossaflow.scratch import scratch_folder
 
 Backend = NativeBackend | MemoryBackend | LexiconBackend | FunctionBackend
 
+# Source of rows whose language is not known (the ISO 639 code for "undetermined").
+UNDETERMINED = "und"
+
 # Targets handled together; bounds what one text can grow to inside a task.
 TARGETS_PER_BLOCK = 16
 
@@ -59,6 +62,11 @@ SENTENCES = Cutting()
 WHOLE_TEXTS = Cutting(sentences=False)
 
 
+def with_known_source(df: DataFrame, column: str = "source") -> DataFrame:
+    """Rows without a source language get :data:`UNDETERMINED`, so that they are translated like all others."""
+    return df.withColumn(column, F.coalesce(column, F.lit(UNDETERMINED)))
+
+
 def _blocks(targets: Sequence[str]) -> list[list[str]]:
     return [list(targets[i : i + TARGETS_PER_BLOCK]) for i in range(0, len(targets), TARGETS_PER_BLOCK)]
 
@@ -164,7 +172,7 @@ def _translate_by_lookup(
     unit = F.struct("__key", "__pos", "__unit", "__hits")
     merged = joined.groupBy("row_id", "__block").agg(
         F.first("__rest", ignorenulls=True).alias("__rest"),
-        F.array_sort(F.collect_list(F.when(F.col("__pos").isNotNull(), unit))).alias("__units"),
+        F.sort_array(F.collect_list(F.when(F.col("__pos").isNotNull(), unit))).alias("__units"),
         *[
             F.bool_or(F.when(F.col("__key") == i, F.col("__present"))).alias(f"__present{i}")
             for i in range(len(keys))
@@ -306,7 +314,7 @@ def translate(
 ) -> DataFrame:
     """One row per input row and target language, with ``keys`` translated.
 
-    ``df`` holds ``row_id`` (unique), ``source`` (language code), the string columns ``keys`` and any other
+    ``df`` holds ``row_id`` (unique), ``source`` (language code; null becomes ``und``), the string columns ``keys`` and any other
     columns, which are kept. Adds ``target``, ``n_units``, ``n_missed`` and ``status``. Null stays null and
     blank becomes empty. A row whose language is among the targets is copied unchanged for that target
     (``status='copied'``), or left out with ``copy_own_language=False``.
@@ -321,6 +329,7 @@ def translate(
     taken = {"target", "n_units", "n_missed", "status"} & set(df.columns)
     if taken:
         raise ValueError(f"columns the result adds are already there: {', '.join(sorted(taken))}")
+    df = with_known_source(df)
     if isinstance(backend, NativeBackend):
         out = _translate_natively(df, keys, targets, backend, cutting, rebalance)
     else:

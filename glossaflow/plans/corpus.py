@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from glossaflow.operators.translate import SENTENCES, Backend, Cutting, translate
+from glossaflow.operators.translate import SENTENCES, Backend, Cutting, translate, with_known_source
 from glossaflow.registry.languages import code_of, system_of, target_codes
 from glossaflow.sources.sinks import RunLabels, export_splits, label, write_canonical
 from glossaflow.sources.splits import keep_translate_columns, select_splits
@@ -54,6 +54,7 @@ def corpus_rows(
     **translate_options,
 ) -> DataFrame:
     """Translations of the requested splits and the source copy of every split, in one DataFrame."""
+    data = with_known_source(data)
     chosen = data if splits is None else select_splits(data, splits)
     translated = translate(chosen, keys, targets, backend, cutting, copy_own_language=False, **translate_options)
     return translated.unionByName(source_copy(data))

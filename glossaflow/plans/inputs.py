@@ -67,7 +67,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = (
         table(spark, sf_dir, "conversations")
         .groupBy("conv_id", part.alias("part"))
-        .agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("turns"))
+        .agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("turns"))
     )
     target = F.get(F.array(*[F.lit(t) for t in TARGETS]), (F.col("conv_id") % len(TARGETS)).cast("int"))
     return grouped.select(

@@ -74,6 +74,12 @@ def names_to_codes(df: DataFrame, name_column: str, canonical: DataFrame, out: s
     return df.join(F.broadcast(lookup), name_column, "left")
 
 
+def unknown_names(df: DataFrame, name_column: str, canonical: DataFrame) -> DataFrame:
+    """The distinct names in ``name_column`` that ``canonical`` does not hold, to be reported before a job starts."""
+    known = canonical.select(F.col("name").alias(name_column))
+    return df.select(name_column).distinct().join(F.broadcast(known), name_column, "left_anti")
+
+
 def codes_to_names(df: DataFrame, code_column: str, registry: DataFrame, out: str) -> DataFrame:
     """Add the name of the language coded in ``code_column``; null when the registry does not know it."""
     lookup = registry.select(F.col("code").alias(code_column), F.col("name").alias(out))
@@ -118,7 +124,7 @@ def mt5_matches(spark: SparkSession, whole_word: bool = False) -> DataFrame:
 def mt5_mapping(spark: SparkSession, whole_word: bool = False) -> DataFrame:
     """``(code, name, matches)``: the matches of each mT5 language that has any, in declaration order."""
     match = F.struct("flores_ordinal", F.col("flores_code").alias("code"), F.col("flores_name").alias("name"))
-    ordered = F.array_sort(F.collect_list(match))
+    ordered = F.sort_array(F.collect_list(match))
     return (
         mt5_matches(spark, whole_word)
         .groupBy(F.col("mt5_code").alias("code"), F.col("mt5_name").alias("name"))
@@ -138,7 +144,7 @@ def mapping_json(mapping: DataFrame) -> DataFrame:
     One row, bounded by the size of the two registries; write it with ``.write.text``.
     """
     pairs = F.transform("matches", lambda m: F.array(m["code"], m["name"]))
-    entries = F.array_sort(F.collect_list(F.struct("code", pairs.alias("pairs"))))
+    entries = F.sort_array(F.collect_list(F.struct("code", pairs.alias("pairs"))))
     return mapping.agg(F.to_json(F.map_from_entries(entries), {"pretty": "true"}).alias("json"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from glossaflow.operators.backends import MemoryBackend, NativeBackend, best_candidates
 from glossaflow.operators.batching import FunctionBackend, apply_function, deal_by_pair
 from glossaflow.operators.skew import hashed, hot_keys, lookup_join
+from glossaflow.operators.translate import with_known_source
 
 REQUEST_SCHEMA = "request_id bigint, source_language string, target_language string, texts array<string>"
 
@@ -30,6 +31,7 @@ def translate_requests(
 
     The answer list has the length and order of the request's list.
     """
+    requests = with_known_source(requests, "source_language")
     if isinstance(backend, NativeBackend):
         return requests.select(
             "request_id",
@@ -48,7 +50,7 @@ def translate_requests(
         answered = found.withColumn("translation", kept)
     numbered = F.when(F.col("pos").isNotNull(), F.struct("pos", "translation"))
     return answered.groupBy("request_id").agg(
-        F.transform(F.array_sort(F.collect_list(numbered)), lambda a: a["translation"]).alias("translated_texts")
+        F.transform(F.sort_array(F.collect_list(numbered)), lambda a: a["translation"]).alias("translated_texts")
     )
 
 

@@ -88,6 +88,8 @@ def test_names_resolve_to_codes(spark):
     named = r.small_table(spark, {"id": [1, 2], "language": ["French", "Klingon"]})
     out = r.names_to_codes(named, "language", r.canonical_languages(spark, r.FLORES), "code")
     assert {(row["id"], row["code"]) for row in out.collect()} == {(1, "fra_Latn"), (2, None)}
+    unknown = r.unknown_names(named.union(named), "language", r.canonical_languages(spark, r.FLORES))
+    assert [row["language"] for row in unknown.collect()] == ["Klingon"]
 
 
 def test_iso_audit(spark):

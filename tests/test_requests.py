@@ -10,6 +10,7 @@ REQUESTS = [
     (3, "fra_Latn", "eng_Latn", []),
     (4, "eng_Latn", "fra_Latn", ["Unknown", None, ""]),
     (5, "fra_Latn", "zul_Latn", [str(i) for i in range(100)]),
+    (6, None, "zul_Latn", ["Hello"]),
 ]
 
 
@@ -34,6 +35,7 @@ def test_answers_have_the_length_and_order_of_the_request(spark, kind):
         assert got[1] == ["Bonjour", "Bye", "Bonjour"] and got[2] == ["Hello"]
         assert got[4] == ["Unknown", None, ""]
     if kind == "function":
+        assert got[6] == ["und>zul_Latn Hello"]
         assert got[5] == [f"fra_Latn>zul_Latn {i}" for i in range(100)]
         assert got[4] == ["eng_Latn>fra_Latn Unknown", None, "eng_Latn>fra_Latn "]
 
@@ -52,4 +54,4 @@ def test_stream_gives_the_batch_result(spark, tmp_path):
     stream_requests(source, function_backend(), f"{tmp_path}/out", f"{tmp_path}/cp", {"availableNow": True}).awaitTermination()
     rows = read_answers(spark, f"{tmp_path}/out")
     assert answers_of(rows) == {**want, 9: ["eng_Latn>fra_Latn Late"]}
-    assert rows.count() == 6
+    assert rows.count() == 7

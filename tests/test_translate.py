@@ -307,6 +307,16 @@ def test_one_text_as_a_one_row_frame(spark):
     assert row["text"] == "<arz_Arab> Hello there. <arz_Arab> Bye."
 
 
+@pytest.mark.parametrize("name", ["tag", "memory", "lexicon", "function"])
+def test_rows_of_unknown_language_are_translated_too(spark, memory, name):
+    df = spark.createDataFrame([(1, None, "Good day."), (2, "fra_Latn", "Bonjour.")], "row_id long, source string, a string")
+    out = by_key(translate(df, ["a"], TARGETS, backends(memory)[name]), "source", "a", "status")
+    assert len(out) == 4
+    assert out[1, "fra_Latn"][0] == "und" and out[1, "fra_Latn"][2] in ("ok", "miss")
+    if name == "function":
+        assert out[1, "zul_Latn"] == ("und", "zul_Latn:Good day.", "ok")
+
+
 def test_no_targets_is_an_error(texts):
     with pytest.raises(ValueError):
         translate(texts, ["a"], [], TAG)
@@ -327,5 +337,7 @@ def test_plans(spark, sf_dir, memory):
     lookup = plan_of(translate(docs, ["text"], TARGETS, MemoryBackend(memory), copy_own_language=False, hot=()))
     assert lookup.count("FileScan parquet") == 1
     assert "Cartesian" not in lookup and "NestedLoop" not in lookup and "Python" not in lookup
+    balanced = plan_of(translate(docs, ["text"], TARGETS, TAG, copy_own_language=False, rebalance=["source"]))
+    assert "REBALANCE_PARTITIONS_BY_COL" in balanced
     split = plan_of(docs.select(F.posexplode(split_sentences(F.col("text")))))
     assert "Exchange" not in split
