@@ -23,7 +23,7 @@ from glossaflow.functions.text import ENGLISH, SplitRules, merge_sentences, spli
 from glossaflow.operators.backends import LexiconBackend, MemoryBackend, NativeBackend, candidate_rank
 from glossaflow.operators.batching import FunctionBackend, apply_function, callers
 from glossaflow.operators.skew import MAX_HOT_KEYS, MIN_HOT_ROWS, fits_broadcast, hashed, hot_keys, key_hash, lookup_join
-from glossaflow.registry.languages import small_table
+from glossaflow.registry.languages import literal_list, small_table
 from glossaflow.scratch import scratch_folder
 
 Backend = NativeBackend | MemoryBackend | LexiconBackend | FunctionBackend
@@ -73,8 +73,7 @@ def _blocks(targets: Sequence[str]) -> list[list[str]]:
 
 def _block_targets(targets: Sequence[str]) -> Column:
     """Target codes of the row's block."""
-    blocks = F.array(*[F.array(*[F.lit(t) for t in block]) for block in _blocks(targets)])
-    return F.get(blocks, F.col("__block"))
+    return F.get(literal_list(_blocks(targets)), F.col("__block"))
 
 
 def _block_key(targets: Sequence[str]) -> list[str]:
@@ -86,7 +85,7 @@ def _with_block(df: DataFrame, targets: Sequence[str]) -> DataFrame:
     n = len(_blocks(targets))
     if n == 1:
         return df.withColumn("__block", F.lit(0))
-    return df.withColumn("__block", F.explode(F.array(*[F.lit(i) for i in range(n)])))
+    return df.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
 
 
 def _fan_out(df: DataFrame, targets: Sequence[str], columns: list) -> DataFrame:
@@ -262,7 +261,7 @@ def translate_units(
     spark = units.sparkSession
     store = store or f"{scratch_folder(spark)}/translations"
     texts = units.where(F.col("text").isNotNull()).groupBy("source", "text").agg(F.count("*").alias("n_rows"))
-    wanted = F.array(*[F.lit(t) for t in targets])
+    wanted = literal_list(targets)
     done = read_store(spark, store)
     if done is not None:
         # one set of answered targets per text: the texts keep their partitioning and are not yet fanned out

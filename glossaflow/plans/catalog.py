@@ -104,7 +104,7 @@ def jsonl_roundtrip(spark, sf_dir):
 
 def output_layout(spark, sf_dir):
     groups = documents(spark, sf_dir).groupBy("source", "split").agg(F.count("*").alias("n_rows"))
-    pairs = groups.withColumn("target", F.explode(F.array(*[F.lit(t) for t in TARGETS])))
+    pairs = groups.withColumn("target", F.explode(registry.literal_list(TARGETS)))
     files = sinks.label(pairs, LABELS).withColumn("extension", F.explode(F.array(F.lit("csv"), F.lit("jsonl"))))
     return files.select(sinks.split_path("out", F.col("extension")).alias("path"), "n_rows")
 
@@ -137,9 +137,9 @@ def target_languages(spark, sf_dir):
     cloud = language_counts(spark, sf_dir).select(F.col("code").alias("source"), F.col("n_documents").alias("n"))
     parts = []
     for system, counts in ((registry.FLORES, flores), (registry.CLOUD, cloud)):
-        codes = registry.target_codes(spark, system)
+        codes = registry.target_codes(system)
         parts.append(
-            counts.withColumn("code", F.explode(F.array(*[F.lit(c) for c in codes])))
+            counts.withColumn("code", F.explode(registry.literal_list(codes)))
             .groupBy("code")
             .agg(F.sum(F.when(F.col("code") != F.col("source"), F.col("n")).otherwise(0)).alias("n_documents"))
             .select(F.lit(system).alias("system"), "code", "n_documents")
@@ -214,10 +214,10 @@ def strip_newlines_query(spark, sf_dir):
 def target_fanout(spark, sf_dir):
     """Distinct sentences and their length per language pair, over every default target."""
     sentences = explode_units(documents(spark, sf_dir), ["text"], SENTENCES).where(F.col("text").isNotNull())
-    targets = registry.target_codes(spark, registry.FLORES)
+    targets = registry.target_codes(registry.FLORES)
     return (
         sentences.select("source", "text").distinct()
-        .select("source", F.length("text").alias("n"), F.explode(F.array(*[F.lit(t) for t in targets])).alias("target"))
+        .select("source", F.length("text").alias("n"), F.explode(registry.literal_list(targets)).alias("target"))
         .where(F.col("target") != F.col("source"))
         .groupBy("source", "target")
         .agg(F.count("*").alias("n_sentences"), F.sum("n").alias("n_chars"))
@@ -226,7 +226,7 @@ def target_fanout(spark, sf_dir):
 
 def translate_all_languages(spark, sf_dir):
     """Every document in every default target language, as a digest of the translated text."""
-    targets = registry.target_codes(spark, registry.FLORES)
+    targets = registry.target_codes(registry.FLORES)
     translated = translate(documents(spark, sf_dir), ["text"], targets, TAG, copy_own_language=False)
     return translated.select("row_id", "source", "target", "n_units", F.md5("text").alias("digest"))
 

@@ -89,7 +89,7 @@ def translate_corpus(
         data = data.withColumn("source", F.lit(code_of(source_language, system)))
     elif "source" not in data.columns:
         raise ValueError("name the source language or give a source column")
-    targets = target_codes(spark, system, target_codes_wanted, exclude_languages)
+    targets = target_codes(system, target_codes_wanted, exclude_languages)
     narrow = keep_translate_columns(data, keys)
     rows = corpus_rows(
         narrow, keys, targets, backend, splits, cutting, rebalance=["split"], store=store

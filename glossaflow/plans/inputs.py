@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from glossaflow.operators.backends import LexiconBackend, MemoryBackend
 from glossaflow.operators.translate import SENTENCES, explode_units
-from glossaflow.registry.languages import CLOUD, FLORES, canonical_languages, codes_to_names, languages, names_to_codes
+from glossaflow.registry.languages import (
+    CLOUD,
+    FLORES,
+    canonical_languages,
+    codes_to_names,
+    languages,
+    literal_list,
+    names_to_codes,
+)
 
 TARGETS = ["arz_Arab", "fra_Latn", "zul_Latn"]
 # Longest list of texts in one request; longer conversations become several requests.
@@ -69,7 +77,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("conv_id", part.alias("part"))
         .agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("turns"))
     )
-    target = F.get(F.array(*[F.lit(t) for t in TARGETS]), (F.col("conv_id") % len(TARGETS)).cast("int"))
+    target = F.get(literal_list(TARGETS), (F.col("conv_id") % len(TARGETS)).cast("int"))
     return grouped.select(
         (F.col("conv_id") * 100_000 + F.col("part")).alias("request_id"),
         F.lit("eng_Latn").alias("source_language"),
@@ -89,7 +97,7 @@ def memory_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.concat(F.lit("~"), "text").alias("translation"), F.lit(0.5).alias("score")),
     )
     return (
-        sentences.withColumn("target", F.explode(F.array(*[F.lit(t) for t in TARGETS])))
+        sentences.withColumn("target", F.explode(literal_list(TARGETS)))
         .withColumn("__candidate", F.explode(candidate))
         .select("source", "target", "text", "__candidate.translation", "__candidate.score")
     )
@@ -107,9 +115,9 @@ def lexicon(spark: SparkSession, sf_dir: str) -> LexiconBackend:
         .where(F.col("text") != "")
         .distinct()
     )
-    sources = F.array(*[F.lit(s) for s in ("eng_Latn", "deu_Latn", "fra_Latn", "spa_Latn")])
+    sources = literal_list(["eng_Latn", "deu_Latn", "fra_Latn", "spa_Latn"])
     return LexiconBackend(
         words.withColumn("source", F.explode(sources))
-        .withColumn("target", F.explode(F.array(*[F.lit(t) for t in TARGETS])))
+        .withColumn("target", F.explode(literal_list(TARGETS)))
         .select("source", "target", "text", F.reverse("text").alias("translation"))
     )

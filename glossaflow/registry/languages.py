@@ -6,10 +6,11 @@ broadcasts by hint. Lists of target codes are Python lists for the same reason.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossaflow.registry import fixed_values
@@ -215,14 +216,26 @@ def target_languages(
 
 
 def target_codes(
-    spark: SparkSession,
-    system: str,
-    codes: Sequence[str] | None = None,
-    exclude_names: Iterable[str] = ("English",),
+    system: str, codes: Sequence[str] | None = None, exclude_names: Iterable[str] = ("English",)
 ) -> list[str]:
-    """The codes of :func:`target_languages` in order (a few hundred at most)."""
-    rows = target_languages(spark, system, codes, exclude_names).orderBy("ordinal", "code").collect()
-    return [r["code"] for r in rows]
+    """The codes of :func:`target_languages` in order, worked out from the packaged lists without a job."""
+    table = FLORES_LANGUAGES if system == FLORES else CLOUD_LANGUAGES
+    names = dict(table)
+    canonical = {name: code for code, name in table}
+    if codes is not None:
+        check_codes(codes, system)
+    elif system == FLORES:
+        codes = [code for _, mt5_name in MT5_LANGUAGES for code, name in table if mt5_name in name]
+    else:
+        codes = [code for mt5_code, _ in MT5_LANGUAGES for code, _ in table if code.split("-")[0] == mt5_code]
+    wanted = dict.fromkeys(canonical[names[code]] for code in codes)
+    return [code for code in wanted if names[code] not in set(exclude_names)]
+
+
+def literal_list(values: Sequence) -> Column:
+    """A constant array column of strings, or of arrays of strings, as one expression whatever its length."""
+    element = "array<string>" if values and not isinstance(values[0], str) else "string"
+    return F.from_json(F.lit(json.dumps(values)), f"array<{element}>")
 
 
 def check_codes(codes: Sequence[str], system: str) -> None:

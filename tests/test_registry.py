@@ -65,19 +65,29 @@ def test_packaged_canonical_codes_equal_the_aggregate(spark):
 
 
 def test_default_targets(spark):
-    flores = r.target_codes(spark, r.FLORES)
-    cloud = r.target_codes(spark, r.CLOUD)
+    flores = r.target_codes(r.FLORES)
+    cloud = r.target_codes(r.CLOUD)
     assert len(flores) == len(set(flores)) == 118 and "eng_Latn" not in flores
     assert len(cloud) == len(set(cloud)) == 100 and "en" not in cloud
-    assert len(r.target_codes(spark, r.FLORES, exclude_names=())) == 119
+    assert len(r.target_codes(r.FLORES, exclude_names=())) == 119
+
+
+@pytest.mark.parametrize("system", [r.FLORES, r.CLOUD])
+@pytest.mark.parametrize("codes", [None, ["af", "zh", "iw", "en"], ["mal_Mlym", "fra_Latn", "mal_Mlym", "eng_Latn"]])
+def test_joins_and_lists_give_the_same_targets(spark, system, codes):
+    if codes is not None and (system == r.FLORES) != ("_" in codes[0]):
+        return
+    for excluded in ((), ("English",), ("English", "French")):
+        joined = r.target_languages(spark, system, codes, excluded).select("code").collect()
+        assert sorted(row["code"] for row in joined) == sorted(r.target_codes(system, codes, excluded))
 
 
 def test_given_targets_are_checked_then_deduplicated_then_excluded(spark):
     asked = ["mal_Mlym", "zsm_Latn", "mal_Mlym", "eng_Latn"]
-    assert r.target_codes(spark, r.FLORES, asked) == ["mal_Mlym", "zsm_Latn"]
-    assert r.target_codes(spark, r.CLOUD, ["iw", "he", "fr"]) == ["he", "fr"]
+    assert r.target_codes(r.FLORES, asked) == ["mal_Mlym", "zsm_Latn"]
+    assert r.target_codes(r.CLOUD, ["iw", "he", "fr"]) == ["he", "fr"]
     with pytest.raises(ValueError, match="xx_Yyyy"):
-        r.target_codes(spark, r.FLORES, ["fra_Latn", "xx_Yyyy"])
+        r.target_codes(r.FLORES, ["fra_Latn", "xx_Yyyy"])
 
 
 def test_names_resolve_to_codes(spark):
