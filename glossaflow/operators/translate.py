@@ -22,7 +22,15 @@ from pyspark.sql import functions as F
 from glossaflow.functions.text import ENGLISH, SplitRules, merge_sentences, split_sentences, strip_newlines
 from glossaflow.operators.backends import LexiconBackend, MemoryBackend, NativeBackend, candidate_rank
 from glossaflow.operators.batching import FunctionBackend, apply_function, callers
-from glossaflow.operators.skew import MAX_HOT_KEYS, MIN_HOT_ROWS, fits_broadcast, hashed, hot_keys, key_hash, lookup_join
+from glossaflow.operators.skew import (
+    MAX_HOT_KEYS,
+    MIN_HOT_ROWS,
+    fits_broadcast,
+    hashed,
+    hot_keys,
+    key_hash,
+    lookup_join,
+)
 from glossaflow.registry.languages import literal_list, small_table
 from glossaflow.scratch import scratch_folder
 
@@ -265,7 +273,9 @@ def translate_units(
     done = read_store(spark, store)
     if done is not None:
         # one set of answered targets per text: the texts keep their partitioning and are not yet fanned out
-        answered = done.where(F.col("status") == "ok").groupBy("source", "text").agg(F.collect_set("target").alias("__done"))
+        answered = (
+            done.where(F.col("status") == "ok").groupBy("source", "text").agg(F.collect_set("target").alias("__done"))
+        )
         texts = texts.join(answered, ["source", "text"], "left")
         wanted = F.array_except(wanted, F.coalesce("__done", F.array().cast("array<string>")))
     # texts are dealt out before the fan-out, which then needs no shuffle; adaptive coalescing, which counts
@@ -313,8 +323,8 @@ def translate(
 ) -> DataFrame:
     """One row per input row and target language, with ``keys`` translated.
 
-    ``df`` holds ``row_id`` (unique), ``source`` (language code; null becomes ``und``), the string columns ``keys`` and any other
-    columns, which are kept. Adds ``target``, ``n_units``, ``n_missed`` and ``status``. Null stays null and
+    ``df`` holds ``row_id`` (unique), ``source`` (language code; null becomes ``und``), the string columns
+    ``keys`` and any other columns, which are kept. Adds ``target``, ``n_units``, ``n_missed`` and ``status``. Null stays null and
     blank becomes empty. A row whose language is among the targets is copied unchanged for that target
     (``status='copied'``), or left out with ``copy_own_language=False``.
 

@@ -267,7 +267,7 @@ def translate_corpus(spark, sf_dir):
         target_codes_wanted=TARGETS,
         splits=["train", "validation"],
     )
-    return run.table.select("row_id", "dataset", "pair", "checkpoint", "template", "run_date", "split", "text", "n_units", "status")
+    return run.table.select("row_id", *sinks.LAYOUT, "text", "n_units", "status")
 
 
 def run_metrics(spark, sf_dir):

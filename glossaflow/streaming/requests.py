@@ -45,7 +45,8 @@ def translate_requests(
         answered = apply_function(deal_by_pair(texts, backend, spread), backend)
     else:
         key = ["source", "target", "text"]
-        found = lookup_join(texts, hashed(best_candidates(backend.table), key), key, spread, hot_keys(requests, request_texts, key))
+        hot = hot_keys(requests, request_texts, key)
+        found = lookup_join(texts, hashed(best_candidates(backend.table), key), key, spread, hot)
         kept = F.coalesce("translation", "text") if backend.keep_missing else F.col("translation")
         answered = found.withColumn("translation", kept)
     numbered = F.when(F.col("pos").isNotNull(), F.struct("pos", "translation"))
