@@ -41,7 +41,9 @@ from glossaflow.llm.components import connected_components
 from glossaflow.scratch import scratch_folder, stage
 
 HEAVY_LIMIT = 500_000
-ROUNDS = 2
+# Rounds of hubs at most; they end once a round links fewer than this share of the sets in buckets.
+ROUNDS = 5
+LEAST_PROGRESS = 0.005
 # Fronts longer than this are never enumerated as subsets.
 LONGEST_SMALL_FRONT = 64
 # Longs of a set's bitmap, and hubs per set whose bitmaps are compared in a round.
@@ -191,8 +193,7 @@ def _fronts(rows: DataFrame, words: int, num: int, den: int, heavy, small_front:
         chosen = values[np.argsort(ranks, kind="stable")[: front + 1]]
         keys: list[int] = []
         if size <= limit:
-            with np.errstate(over="ignore"):
-                keys = [int(((a * _BASE) ^ b).astype(np.int64)) for a, b in combinations(chosen, 2)]
+            keys = [int((a ^ (b << np.uint64(1))).astype(np.int64)) for a, b in combinations(chosen, 2)]
         if size > limit or size * den > limit * num:
             keys += chosen[:front].view(np.int64).tolist()
         return chosen.view(np.int64).tolist(), keys
@@ -296,14 +297,20 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10
         return both.where(F.col("shared") * den >= (F.col("sum") - F.col("shared")) * num).select("a", "b")
 
     links, labels = None, None
+    enough = LEAST_PROGRESS * nodes.count()
     for turn in range(ROUNDS):
         pairs = _with_hubs(_labelled(entries, labels), sets, turn, num, den)
         found = keep(verified(pairs), f"links{turn}")
         links = found if links is None else links.union(found)
-        labels = keep(connected_components(links), f"labels{turn}")
+        new = found.count()
+        if new or labels is None:
+            labels = keep(connected_components(links), f"labels{turn}")
+        if new <= enough:
+            break
     info = fronts.select("node", "front").join(wanted, "node", "left_semi").dropDuplicates(["node"])
     info = keep(info.join(sets.select("node", *_bitmap_columns("")), "node"), "info")
-    rest = _between(_labelled(entries, labels), info, num, den)
+    limit = boundary_size(small_front, num, den) if small_front else 0
+    rest = _between(_labelled(entries, labels), info, num, den, limit)
     links = links.union(keep(verified(rest), "rest"))
     labels = keep(connected_components(links), "labels")
 
@@ -371,20 +378,24 @@ def _with_hubs(entries: DataFrame, sets: DataFrame, turn: int, num: int, den: in
     return best.select(F.col("node_a").alias("a"), F.col("best.node_b").alias("b"))
 
 
-def _between(entries: DataFrame, info: DataFrame, num: int, den: int) -> DataFrame:
+def _between(entries: DataFrame, info: DataFrame, num: int, den: int, limit: int) -> DataFrame:
     """All pairs ``(a, b)`` of sets of different components that share a bucket and whose fronts and bitmaps allow
-    a link."""
+    a link. A pair comes from the first bucket it shares only: that of the first shingle common to the fronts, or
+    of the first two if both sets are small (up to ``limit``)."""
     rows = entries.join(info, "node")
     possible, _, needed = _may_link(num, den)
     behind = F.greatest(F.col("n_a") - F.size("front_a"), F.col("n_b") - F.size("front_b"))
     common = F.array_intersect("front_a", "front_b")
+    one, two = F.get(common, F.lit(0)), F.get(common, F.lit(1))
+    both_small = F.greatest("n_a", "n_b") <= limit
+    bucket = F.when(both_small, one.bitwiseXOR(F.shiftleft(two, 1))).otherwise(one)
     joined = (
         (F.col("key_a") == F.col("key_b")) & (F.col("node_a") < F.col("node_b"))
         & (F.col("component_a") != F.col("component_b")) & _close("n_a", "n_b", num, den) & possible
-        & (F.size(common) + behind >= needed)
+        & (F.size(common) + behind >= needed) & (F.col("key_a") == bucket)
     )
     pairs = _suffixed(rows, "_a").join(_suffixed(rows, "_b"), joined)
-    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
 def one_per_class(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, id_column: str = "doc_id",

@@ -59,7 +59,8 @@ def _hashes(words: list[str], order: int) -> tuple[np.ndarray, np.ndarray, np.nd
     with np.errstate(over="ignore"):
         for k in range(1, order + 1):
             shifted = np.zeros(len(codes), np.uint64)
-            shifted[k - 1 :] = codes[: len(codes) - k + 1]
+            if len(codes) >= k:
+                shifted[k - 1 :] = codes[: len(codes) - k + 1]
             grams.append(grams[-1] + (shifted + np.uint64(1)) * power)
             power = power * _BASE
     return owner, place, codes, grams

@@ -86,7 +86,8 @@ def passages(parsed: DataFrame) -> DataFrame:
 
 def own_text() -> Column:
     own = F.transform(F.filter("lines", lambda x: x["level"] == 0), lambda x: x["body"])
-    return F.trim(F.regexp_replace(F.array_join(own, "\n"), r"\n{3,}", "\n\n"))
+    joined = F.regexp_replace(F.array_join(own, "\n"), r"\n{3,}", "\n\n")
+    return F.regexp_replace(joined, r"^\s+|\s+$", "")
 
 
 def reply_links(messages: DataFrame) -> DataFrame:
