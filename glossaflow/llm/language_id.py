@@ -148,7 +148,7 @@ class Models:
     def score_words(self, words: list[str]) -> np.ndarray:
         """One row per word: the log probability by language, then the number of characters predicted."""
         result = np.zeros((len(words), len(self.languages) + 1), np.float32)
-        if not words:
+        if not words or not self.languages:
             return result
         owner, place, _, grams = _hashes(words, self.order)
         logs = np.zeros((len(owner), len(self.languages)), np.float32)
