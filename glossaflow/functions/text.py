@@ -76,7 +76,7 @@ def mark_sentences(text: Column, rules: SplitRules = ENGLISH) -> Column:
 def split_sentences(text: Column, rules: SplitRules = ENGLISH) -> Column:
     """Sentences of ``text`` in order; none for a blank text, null for null. Line ends are sentence ends."""
     marked = F.btrim(mark_sentences(text, rules), F.lit(" \t\r\n\f\u000b"))
-    pieces = F.split(marked, " *\n[ \n]*")
+    pieces = F.split(marked, "[ \r]*\n[ \r\n]*")
     return F.array_remove(pieces, F.lit(""))
 
 

@@ -32,7 +32,7 @@ from glossaflow.operators.skew import (
     lookup_join,
 )
 from glossaflow.registry.languages import literal_list, small_table
-from glossaflow.scratch import scratch_folder
+from glossaflow.scratch import scratch_folder, stage
 
 Backend = NativeBackend | MemoryBackend | LexiconBackend | FunctionBackend
 
@@ -165,8 +165,11 @@ def _translate_by_lookup(
     if by_word and fits_broadcast(backend.table, ["source", "target", "text", "translation"]):
         # words stay where they are; a longer word list takes the salted join
         side, hot = F.broadcast(side), ()
-    elif hot is None:
-        hot = hot_keys(df, units_of, ["source", "text"])
+    else:
+        # as a written table the side reaches the join by a plain exchange, which adaptive skew splitting needs
+        side = stage(side, "lookup")
+        if hot is None:
+            hot = hot_keys(df, units_of, ["source", "text"])
     units = _with_block(units_of(df), targets)
     joined = lookup_join(
         units,
@@ -264,11 +267,13 @@ def translate_units(
 
     ``store`` names the table's folder. Pairs already answered there are not sent again, so an interrupted
     or repeated run goes on where the last one stopped. Returns ``(source, target, text, translation,
-    n_rows, status, attempts, error)`` of this store.
+    n_rows, status, attempts, error)``, one row per wanted text and target: an ``ok`` answer if there is one.
     """
     spark = units.sparkSession
     store = store or f"{scratch_folder(spark)}/translations"
+    units = with_known_source(units)
     texts = units.where(F.col("text").isNotNull()).groupBy("source", "text").agg(F.count("*").alias("n_rows"))
+    asked = texts
     wanted = literal_list(targets)
     done = read_store(spark, store)
     if done is not None:
@@ -289,11 +294,17 @@ def translate_units(
     answers = apply_function(calls, backend)
     # tasks commit straight into the store, so what was answered before a job failed is kept
     answers.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(store)
-    return spark.read.schema(answers.schema).parquet(store)
+    stored = spark.read.schema(answers.schema).parquet(store).where(F.col("target").isin(list(targets)))
+    kept = ["translation", "status", "attempts", "error"]
+    best = F.max_by(F.struct(*kept), F.struct(F.col("status") == "ok", "attempts", "translation"))
+    one = stored.groupBy("source", "text", "target").agg(best.alias("__best"))
+    return one.join(asked, ["source", "text"]).select(
+        "source", "target", "text", "__best.translation", "n_rows", *[F.col("__best")[c].alias(c) for c in kept[1:]]
+    )
 
 
 def hot_answers(answers: DataFrame) -> list[int]:
-    """Hashes of the texts that occur most, from the counts stored with the answers."""
+    """Hashes of the texts that occur most in this run."""
     often = answers.where(F.col("n_rows") >= MIN_HOT_ROWS)
     most = often.groupBy("source", "text").agg(F.max("n_rows").alias("n_rows")).orderBy(F.desc("n_rows"))
     return [r["h"] for r in most.limit(MAX_HOT_KEYS).select(key_hash(["source", "text"]).alias("h")).collect()]

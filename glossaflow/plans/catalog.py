@@ -30,7 +30,6 @@ from glossaflow.plans.inputs import (
     memory,
     memory_candidates,
     requests,
-    spread_rows,
     table,
 )
 from glossaflow.registry import languages as registry
@@ -329,6 +328,29 @@ def request_batch(spark, sf_dir):
     return _answers(translate_requests(requests(spark, sf_dir), FunctionBackend(_marking, batch_rows=16)))
 
 
+def request_memory(spark, sf_dir):
+    """Requests answered from the memory; most texts of conversations are not in it."""
+    answered = translate_requests(requests(spark, sf_dir), memory(spark, sf_dir))
+    both = answered.select("request_id", F.posexplode(F.arrays_zip("translated_texts", "statuses")).alias("pos", "a"))
+    return both.select(
+        "request_id", F.col("pos").cast("long").alias("pos"), F.col("a.translated_texts").alias("translation"),
+        F.col("a.statuses").alias("status"),
+    )
+
+
+def request_failures(spark, sf_dir):
+    """Outcome of requests by a backend that cannot serve one language."""
+    backend = FunctionBackend(_marking_without_zulu, batch_rows=16, retry_wait=(0.0, 0.0))
+    answered = translate_requests(requests(spark, sf_dir), backend)
+    rows = answered.select(
+        "request_id", F.explode(F.arrays_zip("translated_texts", "statuses", "attempts", "errors")).alias("a")
+    )
+    return rows.groupBy(
+        "request_id", F.col("a.statuses").alias("status"), F.col("a.attempts").cast("long").alias("attempts"),
+        F.col("a.errors").alias("error"),
+    ).agg(F.count("*").alias("n_texts"), F.count("a.translated_texts").alias("n_translated"))
+
+
 def stream_requests_query(spark, sf_dir):
     folder = scratch_folder(spark)
     incoming = f"{folder}/incoming"
@@ -374,6 +396,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_plan": batch_plan,
     "batched_map": batched_map_query,
     "request_batch": request_batch,
+    "request_memory": request_memory,
+    "request_failures": request_failures,
     "stream_requests": stream_requests_query,
     "run_metrics": run_metrics,
     "failed_rows": failed_rows,

@@ -18,8 +18,6 @@ from glossaflow.registry.languages import (
 )
 
 TARGETS = ["arz_Arab", "fra_Latn", "zul_Latn"]
-# Longest list of texts in one request; longer conversations become several requests.
-TEXTS_PER_REQUEST = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,14 +53,18 @@ def language_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dialogue_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(row_id, source, inputs, targets)``: each user turn and the assistant turn right after it."""
+    """``(row_id, source, inputs, targets)``: each turn and the assistant turn right after it.
+
+    A turn without an answer has null ``targets``, an answer without a turn before it null ``inputs``; no turn is
+    left out. ``row_id`` is ``conversation:turn``.
+    """
     turns = table(spark, sf_dir, "conversations")
-    asked = turns.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("inputs"))
+    asked = turns.where(F.col("role") != "assistant").select("conv_id", "turn", F.col("text").alias("inputs"))
     answered = turns.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("targets")
     )
-    return asked.join(answered, ["conv_id", "turn"]).select(
-        (F.col("conv_id") * 100 + F.col("turn")).alias("row_id"),
+    return asked.join(answered, ["conv_id", "turn"], "full").select(
+        F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("row_id"),
         F.lit("eng_Latn").alias("source"),
         "inputs",
         "targets",
@@ -70,16 +72,15 @@ def dialogue_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One request per conversation (at most ``TEXTS_PER_REQUEST`` turns each), in mixed language pairs."""
-    part = F.floor(F.col("turn") / TEXTS_PER_REQUEST)
+    """One request per conversation, in mixed language pairs."""
     grouped = (
         table(spark, sf_dir, "conversations")
-        .groupBy("conv_id", part.alias("part"))
+        .groupBy("conv_id")
         .agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("turns"))
     )
     target = F.get(literal_list(TARGETS), (F.col("conv_id") % len(TARGETS)).cast("int"))
     return grouped.select(
-        (F.col("conv_id") * 100_000 + F.col("part")).alias("request_id"),
+        F.col("conv_id").alias("request_id"),
         F.lit("eng_Latn").alias("source_language"),
         target.alias("target_language"),
         F.transform("turns", lambda t: t["text"]).alias("texts"),

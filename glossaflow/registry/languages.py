@@ -155,17 +155,13 @@ def iso_audit(named: DataFrame, iso: DataFrame) -> DataFrame:
     Adds ``status``: ``ok``, ``missing`` (name unknown) or ``mismatch`` (no part equals the code).
     """
     parts = ("part1", "part3", "part5", "part2t", "part2b")
-    any_equal = F.lit(False)
-    for part in parts:
-        any_equal = any_equal | F.col(part).eqNullSafe(F.col("code"))
-    table = iso.select("name", *parts).dropDuplicates(["name"]).withColumn("__known", F.lit(True))
+    # A name may have several rows: it is right if any part of any of them equals the code.
+    table = iso.groupBy("name").agg(F.flatten(F.collect_set(F.array(*parts))).alias("__codes"))
+    equal = F.coalesce(F.array_contains("__codes", F.col("code")), F.lit(False))
     return (
         named.join(table, "name", "left")
-        .withColumn(
-            "status",
-            F.when(F.col("__known").isNull(), "missing").when(any_equal, "ok").otherwise("mismatch"),
-        )
-        .drop(*parts, "__known")
+        .withColumn("status", F.when(F.col("__codes").isNull(), "missing").when(equal, "ok").otherwise("mismatch"))
+        .drop("__codes")
     )
 
 

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+# Folders handed out in each open scope.
+_scopes: list[list[str]] = []
 
 
 @cache
@@ -27,7 +31,28 @@ def scratch_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
         root = _local_root()
-    return f"{root.rstrip('/')}/glossaflow/{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/glossaflow/{uuid.uuid4().hex}"
+    for scope in _scopes:
+        scope.append(folder)
+    return folder
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch folders that were handed out inside the scope when it ends.
+
+    Collect or write what was read from them before: frames from inside a scope are of no use after it.
+    """
+    folders: list[str] = []
+    _scopes.append(folders)
+    try:
+        yield
+    finally:
+        _scopes.remove(folders)
+        jvm = spark.sparkContext._jvm
+        for folder in folders:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import zlib
+from collections.abc import Sequence
+from dataclasses import replace
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -10,7 +14,11 @@ from glossaflow.operators.backends import MemoryBackend, NativeBackend, best_can
 from glossaflow.operators.batching import FunctionBackend, apply_function, deal_by_pair
 from glossaflow.operators.skew import hashed, hot_keys, lookup_join
 from glossaflow.operators.translate import with_known_source
+from glossaflow.scratch import stage
 
+ANSWER_SCHEMA = (
+    "request_id bigint, translated_texts array<string>, statuses array<string>, attempts array<int>, errors array<string>"
+)
 REQUEST_SCHEMA = "request_id bigint, source_language string, target_language string, texts array<string>"
 
 
@@ -24,34 +32,71 @@ def request_texts(requests: DataFrame) -> DataFrame:
     )
 
 
+def reduced_memory(backend: MemoryBackend) -> MemoryBackend:
+    """The memory with the best translation of each text only, written once: for many small batches."""
+    best = stage(best_candidates(backend.table), "memory")
+    return replace(backend, table=best)
+
+
+def _taker(field: str):
+    return lambda answer: answer[field]
+
+
+def _status_list(value: str) -> Column:
+    size = F.size("texts")
+    return F.when(size >= 0, F.array_repeat(F.lit(value), F.greatest(size, F.lit(0))))
+
+
 def translate_requests(
-    requests: DataFrame, backend: NativeBackend | MemoryBackend | FunctionBackend
+    requests: DataFrame, backend: NativeBackend | MemoryBackend | FunctionBackend, hot: Sequence[int] | None = None
 ) -> DataFrame:
-    """Answer ``(request_id, source_language, target_language, texts)`` with ``(request_id, translated_texts)``.
+    """Answer ``(request_id, source_language, target_language, texts)`` with ``(request_id, translated_texts,
+    statuses, attempts, errors)``.
 
-    The answer list has the length and order of the request's list.
+    All four lists have the length and order of the request's list. A status is ``ok``, ``failed`` (no
+    translation), ``miss`` (not in the memory) or ``copied`` (the text already is in the target language; it is
+    not sent). A function sees each distinct text of a pair once. ``hot`` holds hashes of keys to spread in a
+    memory lookup; by default a sketch finds them.
     """
     requests = with_known_source(requests, "source_language")
+    own = F.col("source_language").eqNullSafe(F.col("target_language"))
     if isinstance(backend, NativeBackend):
+        made = F.transform("texts", lambda t: backend.column(t, F.col("source_language"), F.col("target_language")))
         return requests.select(
             "request_id",
-            F.transform(
-                "texts", lambda t: backend.column(t, F.col("source_language"), F.col("target_language"))
-            ).alias("translated_texts"),
+            F.when(own, F.col("texts")).otherwise(made).alias("translated_texts"),
+            F.when(own, _status_list("copied")).otherwise(_status_list("ok")).alias("statuses"),
+            F.transform("texts", lambda t: F.lit(0)).alias("attempts"),
+            F.transform("texts", lambda t: F.lit(None).cast("string")).alias("errors"),
         )
     texts = request_texts(requests)
     spread = F.xxhash64("request_id", "pos")
+    key = ["source", "target", "text"]
+    foreign = ~F.col("source").eqNullSafe(F.col("target"))
     if isinstance(backend, FunctionBackend):
-        answered = apply_function(deal_by_pair(texts, backend, spread), backend)
+        sent = texts.where(foreign & F.col("text").isNotNull()).select(*key).distinct()
+        answers = stage(apply_function(deal_by_pair(sent, backend, F.xxhash64("text")), backend), "answers")
+        found = lookup_join(texts, hashed(answers, key), key, spread, hot or ())
+        translation = F.when(foreign, F.col("translation")).otherwise(F.col("text"))
+        status = F.when(~foreign, "copied").otherwise(F.coalesce("status", F.lit("ok")))
+        attempts, error = F.coalesce("attempts", F.lit(0)), F.col("error")
     else:
-        key = ["source", "target", "text"]
-        hot = hot_keys(requests, request_texts, key)
+        hot = hot_keys(requests, request_texts, key) if hot is None else hot
         found = lookup_join(texts, hashed(best_candidates(backend.table), key), key, spread, hot)
+        known = F.col("translation").isNotNull() | F.col("text").isNull()
         kept = F.coalesce("translation", "text") if backend.keep_missing else F.col("translation")
-        answered = found.withColumn("translation", kept)
-    numbered = F.when(F.col("pos").isNotNull(), F.struct("pos", "translation"))
-    return answered.groupBy("request_id").agg(
-        F.transform(F.sort_array(F.collect_list(numbered)), lambda a: a["translation"]).alias("translated_texts")
+        translation = F.when(foreign, kept).otherwise(F.col("text"))
+        missed = "miss" if backend.keep_missing else "failed"
+        status = F.when(~foreign, "copied").when(known, "ok").otherwise(missed)
+        attempts, error = F.lit(0), F.lit(None).cast("string")
+    answer = F.struct("pos", translation.alias("translation"), status.alias("status"), attempts.alias("attempts"),
+                      error.alias("error"))
+    lists = found.groupBy("request_id").agg(
+        F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), answer))).alias("answers")
+    )
+    names = {"translation": "translated_texts", "status": "statuses", "attempts": "attempts", "error": "errors"}
+    return lists.select(
+        "request_id", *[F.transform("answers", _taker(field)).alias(n) for field, n in names.items()]
     )
 
 
@@ -65,11 +110,17 @@ def stream_requests(
     """Answer a stream of requests; each micro-batch takes all that wait.
 
     A micro-batch is written to a folder of its own in overwrite mode, so a batch that is run again after a
-    failure replaces its first try.
+    failure replaces its first try; a query with another checkpoint counts from 0 again, so its batches have a
+    folder of their own. A memory is reduced once, before the stream starts.
     """
+    run = zlib.crc32(checkpoint.encode())
+    small = isinstance(backend, MemoryBackend)
+    if small:
+        backend = reduced_memory(backend)
 
     def answer(batch: DataFrame, batch_id: int) -> None:
-        translate_requests(batch, backend).write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+        answers = translate_requests(batch, backend, () if small else None)
+        answers.write.mode("overwrite").parquet(f"{output}/run={run}/batch_id={batch_id}")
 
     return (
         requests.writeStream.foreachBatch(answer)
@@ -80,6 +131,6 @@ def stream_requests(
 
 
 def read_answers(spark: SparkSession, output: str) -> DataFrame:
-    return spark.read.schema("request_id bigint, translated_texts array<string>").option(
+    return spark.read.schema(ANSWER_SCHEMA).option(
         "recursiveFileLookup", "true"
     ).parquet(output)

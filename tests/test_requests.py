@@ -55,3 +55,32 @@ def test_stream_gives_the_batch_result(spark, tmp_path):
     rows = read_answers(spark, f"{tmp_path}/out")
     assert answers_of(rows) == {**want, 9: ["eng_Latn>fra_Latn Late"]}
     assert rows.count() == 7
+
+
+def test_equal_texts_are_sent_once_and_own_language_is_not_sent(spark, tmp_path):
+    log = str(tmp_path / "sent")
+
+    def load():
+        def call(source, target, texts):
+            with open(log, "a") as file:
+                file.writelines(f"{text}\n" for text in texts)
+            return [text.upper() for text in texts]
+
+        return call
+
+    rows = [(i, "eng_Latn", "fra_Latn", ["same", "same"]) for i in range(50)] + [(99, "eng_Latn", "eng_Latn", ["own"])]
+    answered = translate_requests(spark.createDataFrame(rows, REQUEST_SCHEMA), FunctionBackend(load)).collect()
+    found = {r["request_id"]: (r["translated_texts"], r["statuses"]) for r in answered}
+    assert found[7] == (["SAME", "SAME"], ["ok", "ok"]) and found[99] == (["own"], ["copied"])
+    assert open(log).read() == "same\n"
+
+
+def test_a_long_conversation_is_one_request_and_keeps_its_turns_apart(spark, tmp_path):
+    from glossaflow.plans.inputs import dialogue_pairs, requests
+
+    turns = [(c, t, "assistant" if t % 2 else "user", f"{c} {t}") for c in (1, 2) for t in range(150)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(
+        f"{tmp_path}/conversations.parquet")
+    assert {r["request_id"]: len(r["texts"]) for r in requests(spark, str(tmp_path)).collect()} == {1: 150, 2: 150}
+    pairs = {r["row_id"]: (r["inputs"], r["targets"]) for r in dialogue_pairs(spark, str(tmp_path)).collect()}
+    assert len(pairs) == 150 and pairs["1:104"] == ("1 104", "1 105") and pairs["2:4"] == ("2 4", "2 5")
