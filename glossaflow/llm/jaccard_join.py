@@ -12,8 +12,9 @@ lists, both measured over all texts, sum up to least.
 
 No group is expanded into all its pairs. A round takes one hub per bucket; each set is compared with the hub it
 shares most buckets with (the likest of four by their bitmaps), and verified links are contracted to components.
-After two rounds copies by the thousand are one component, and only pairs of different components are left: those
-are all checked, first by what fronts and bitmaps allow, then on the sets, so no link between components is missed.
+After a few rounds copies by the thousand are one component, and only pairs of different components are left: those
+are all checked, first by what places in the fronts and bitmaps allow, then on the sets, so no link between
+components is missed. What a bucket entry carries for that has a fixed size, however long its text is.
 
 Frequencies come from all texts: tasks report shingles that occur in at least two of their sets, and the sums
 decide the order (any order is right; a good one makes short lists). At most ``HEAVY_LIMIT`` shingles, the most
@@ -49,6 +50,8 @@ LONGEST_SMALL_FRONT = 64
 # Longs of a set's bitmap, and hubs per set whose bitmaps are compared in a round.
 BITMAP = 16
 HUBS = 4
+# Shared buckets of a set, the first ones in the global order, that tell in which bucket a pair is taken.
+FIRST_KEYS = 16
 _BUFFER = 2_000_000
 _REMEMBERED = 600_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -176,11 +179,11 @@ def choose_front(counts: DataFrame) -> int:
 
 
 def _fronts(rows: DataFrame, words: int, num: int, den: int, heavy, small_front: int) -> DataFrame:
-    """``(id, n, node, front, keys)`` per text: its set's size and name, the front, and the buckets it enters."""
+    """``(id, n, node, keys)`` per text: its set's size and name, and the buckets it enters in the global order."""
     shared, key = rows.sparkSession.sparkContext.broadcast(heavy), uuid.uuid4().hex
     limit = boundary_size(small_front, num, den) if small_front else 0
 
-    def one(values: np.ndarray, table: np.ndarray, classes: np.ndarray) -> tuple[list[int], list[int]]:
+    def one(values: np.ndarray, table: np.ndarray, classes: np.ndarray) -> list[int]:
         size = len(values)
         front = front_length(size, num, den)
         ranks = np.zeros(size, np.int8)
@@ -196,27 +199,24 @@ def _fronts(rows: DataFrame, words: int, num: int, den: int, heavy, small_front:
             keys = [int((a ^ (b << np.uint64(1))).astype(np.int64)) for a, b in combinations(chosen, 2)]
         if size > limit or size * den > limit * num:
             keys += chosen[:front].view(np.int64).tolist()
-        return chosen.view(np.int64).tolist(), keys
+        return keys
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         known = worker_state("jaccard", words, _Words)
         table, classes = worker_state("jaccard-heavy", key, lambda: shared.value)
-        sizes, names, fronts, keys = [], [], [], []
+        sizes, names, keys = [], [], []
         for text in batch.column("text").to_pylist():
             values = shingles(text, words, known)
-            made = one(values, table, classes) if len(values) > 1 else ([], [])
             sizes.append(len(values))
             names.append(_name(values))
-            fronts.append(made[0])
-            keys.append(made[1])
-        lists = pa.list_(pa.int64())
+            keys.append(one(values, table, classes) if len(values) > 1 else [])
         return pa.RecordBatch.from_arrays(
             [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()),
-             pa.array(fronts, lists), pa.array(keys, lists)],
-            ["id", "n", "node", "front", "keys"],
+             pa.array(keys, pa.list_(pa.int64()))],
+            ["id", "n", "node", "keys"],
         )
 
-    return map_batches(rows, run, "id long, n long, node long, front array<long>, keys array<long>")
+    return map_batches(rows, run, "id long, n long, node long, keys array<long>")
 
 
 def _bitmap(values: np.ndarray) -> np.ndarray:
@@ -273,9 +273,9 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10
     by_key = Window.partitionBy("key")
     entries = (
         fronts.where("size(keys) > 0").select("node", "n", "keys").dropDuplicates(["node"])
-        .select("node", "n", F.explode("keys").alias("key"))
+        .select("node", "n", F.posexplode("keys").alias("place", "key"))
         .withColumn("low", F.min("node").over(by_key)).withColumn("high", F.max("node").over(by_key))
-        .where("low != high").select("key", "node", "n")
+        .where("low != high").select("key", "node", "n", "place")
     )
     entries = keep(entries, "entries")
     nodes = keep(entries.select("node").distinct().join(named, "node"), "nodes")
@@ -307,10 +307,9 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10
             labels = keep(connected_components(links), f"labels{turn}")
         if new <= enough:
             break
-    info = fronts.select("node", "front").join(wanted, "node", "left_semi").dropDuplicates(["node"])
-    info = keep(info.join(sets.select("node", *_bitmap_columns("")), "node"), "info")
     limit = boundary_size(small_front, num, den) if small_front else 0
-    rest = _between(_labelled(entries, labels), info, num, den, limit)
+    left = keep(_labelled(entries, labels), "left")
+    rest = keep(_between(left, sets.select("node", *_bitmap_columns("")), num, den, limit), "candidates")
     links = links.union(keep(verified(rest), "rest"))
     labels = keep(connected_components(links), "labels")
 
@@ -378,24 +377,31 @@ def _with_hubs(entries: DataFrame, sets: DataFrame, turn: int, num: int, den: in
     return best.select(F.col("node_a").alias("a"), F.col("best.node_b").alias("b"))
 
 
-def _between(entries: DataFrame, info: DataFrame, num: int, den: int, limit: int) -> DataFrame:
-    """All pairs ``(a, b)`` of sets of different components that share a bucket and whose fronts and bitmaps allow
-    a link. A pair comes from the first bucket it shares only: that of the first shingle common to the fronts, or
-    of the first two if both sets are small (up to ``limit``)."""
-    rows = entries.join(info, "node")
+def _between(entries: DataFrame, marks: DataFrame, num: int, den: int, limit: int) -> DataFrame:
+    """All pairs ``(a, b)`` of sets of different components that share a bucket and may link by their bitmaps
+    (``marks``) and places.
+
+    A pair is taken from the first bucket it shares, as far as the first ``FIRST_KEYS`` buckets of its sets tell;
+    if these have none in common, from every bucket it shares, and repeated pairs are dropped. What stands before
+    the first common shingle in a front is not shared; that is asked of large sets only (above ``limit``), whose
+    places are those of shingles.
+    """
+    order = Window.partitionBy("node").orderBy("place", "key")
+    ranked = entries.select("node", "place", "key").withColumn("rank", F.row_number().over(order))
+    listed = F.sort_array(F.collect_list(F.struct("rank", "key")))["key"]
+    first = ranked.where(F.col("rank") <= FIRST_KEYS).groupBy("node").agg(listed.alias("first"))
+    rows = entries.join(marks.join(first, "node"), "node")
     possible, _, needed = _may_link(num, den)
-    behind = F.greatest(F.col("n_a") - F.size("front_a"), F.col("n_b") - F.size("front_b"))
-    common = F.array_intersect("front_a", "front_b")
-    one, two = F.get(common, F.lit(0)), F.get(common, F.lit(1))
-    both_small = F.greatest("n_a", "n_b") <= limit
-    bucket = F.when(both_small, one.bitwiseXOR(F.shiftleft(two, 1))).otherwise(one)
+    earliest = F.get(F.array_intersect("first_a", "first_b"), F.lit(0))
+    both_large = F.least("n_a", "n_b") > limit
+    most = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     joined = (
         (F.col("key_a") == F.col("key_b")) & (F.col("node_a") < F.col("node_b"))
-        & (F.col("component_a") != F.col("component_b")) & _close("n_a", "n_b", num, den) & possible
-        & (F.size(common) + behind >= needed) & (F.col("key_a") == bucket)
+        & (F.col("component_a") != F.col("component_b")) & _close("n_a", "n_b", num, den)
+        & (~both_large | (most >= needed)) & possible & F.coalesce(earliest == F.col("key_a"), F.lit(True))
     )
     pairs = _suffixed(rows, "_a").join(_suffixed(rows, "_b"), joined)
-    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
 def one_per_class(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, id_column: str = "doc_id",
