@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossaflow.llm.common import map_batches, quoted, small, worker_state
-from glossaflow.llm.components import connected_components
+from glossaflow.llm.components import as_edges, star_forest
 from glossaflow.scratch import scratch_folder, stage
 
 HEAVY_LIMIT = 500_000
@@ -296,22 +296,24 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10
                                                                (F.size("of_a") + F.size("of_b")).alias("sum"))
         return both.where(F.col("shared") * den >= (F.col("sum") - F.col("shared")) * num).select("a", "b")
 
-    links, labels = None, None
+    # Every set that is not the smallest of its component, and that smallest one.
+    forest = None
     enough = LEAST_PROGRESS * nodes.count()
     for turn in range(ROUNDS):
-        pairs = _with_hubs(_labelled(entries, labels), sets, turn, num, den)
-        found = keep(verified(pairs), f"links{turn}")
-        links = found if links is None else links.union(found)
+        pairs = _with_hubs(_labelled(entries, forest), sets, turn, num, den)
+        found = keep(as_edges(verified(pairs)), f"links{turn}")
         new = found.count()
-        if new or labels is None:
-            labels = keep(connected_components(links), f"labels{turn}")
+        if new or forest is None:
+            forest = star_forest(found if forest is None else forest.union(found))
         if new <= enough:
             break
     limit = boundary_size(small_front, num, den) if small_front else 0
-    left = keep(_labelled(entries, labels), "left")
+    left = keep(_labelled(entries, forest), "left")
     rest = keep(_between(left, sets.select("node", *_bitmap_columns("")), num, den, limit), "candidates")
-    links = links.union(keep(verified(rest), "rest"))
-    labels = keep(connected_components(links), "labels")
+    found = keep(as_edges(verified(rest)), "rest")
+    if found.count():
+        forest = star_forest(forest.union(found))
+    labels = _components(forest)
 
     # The smallest id of each class, then of each set, then beside each row.
     classed = named.join(labels, "node", "left").withColumn("class", F.coalesce("component", "node"))
@@ -324,13 +326,17 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10
     )
 
 
-def _labelled(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _components(forest: DataFrame) -> DataFrame:
+    return forest.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def _labelled(entries: DataFrame, forest: DataFrame | None) -> DataFrame:
     """Bucket entries with the component of their set, without buckets that lie in one component."""
-    if labels is None:
+    if forest is None:
         return entries.withColumn("component", F.col("node"))
     by_key = Window.partitionBy("key")
     return (
-        entries.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        entries.join(_components(forest), "node", "left").withColumn("component", F.coalesce("component", "node"))
         .withColumn("low", F.min("component").over(by_key)).withColumn("high", F.max("component").over(by_key))
         .where("low != high").drop("low", "high")
     )
