@@ -5,15 +5,18 @@ with their classes, and counts on how many pages it stands, in which layouts (se
 which contents. Layouts and contents give the node an importance by entropy: contents that come back on many pages
 of the host inform little (for a text that c of m pages have at this place: 1 - log c / log m, averaged over the
 place's texts), and so do layouts that never vary (entropy to the base m). A node of low importance in both is
-template, and its branch is left out of every page of the host. Places seen on fewer than ``LEAST_PAGES`` pages say
-nothing and stay.
+template, and its branch is left out of every page of the host. Copies of a page (equal markup on a host) count as one
+page, each with its share of it. Places seen on fewer than ``LEAST_PAGES`` different pages say nothing and stay.
 
 What the markup itself declares is decided first: navigation, footers, page headers, asides, forms, scripts,
 styles, and elements whose class, id or role names an advert, a notice, a menu, a sidebar or comments are no main
-text; if a page has an ``article`` or ``main`` element, text outside of it is none either.
+text; if a page has an ``article`` or ``main`` element, text outside of it is none either. Where the tree would take
+more than ``MOST_OF_MAIN`` of the characters that a page declares as main text, as it does among near copies of an
+article, the page keeps what it declares.
 
-Two passes read the pages; between them only counts per host, place and content are moved, combined per task. The
-table of places to leave out is joined by host (sent to all executors if measured to be small).
+Two passes parse the pages, after one that counts digests of them; between them only counts per host, place and content
+are moved, combined per task. The tables of repeated digests and of places to leave out are joined by host (sent to all
+executors if measured to be small).
 
 Results: null and empty pages give an empty text. White space within a block becomes one blank, blocks are joined
 in page order by a newline. Unclosed and misnested tags are closed as their neighbours demand; hosts are taken from
@@ -37,6 +40,7 @@ from glossaflow.scratch import scratch_folder, stage
 
 LEAST_PAGES = 8
 LEAST_IMPORTANCE = 0.25
+MOST_OF_MAIN = 0.5
 
 # Elements of HTML by what they do to the text around them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -85,10 +89,11 @@ class Page:
     has_main: bool = False
 
     def texts(self, dropped: frozenset[int] = frozenset()) -> list[str]:
-        return [
-            text for place, text, main in self.blocks
-            if (main or not self.has_main) and place_code(place) not in dropped
-        ]
+        declared = [(place, text) for place, text, main in self.blocks if main or not self.has_main]
+        left = [text for place, text in declared if place_code(place) not in dropped] if dropped else None
+        if left is None or self.has_main and sum(map(len, left)) < (1 - MOST_OF_MAIN) * sum(len(t) for _, t in declared):
+            return [text for _, text in declared]
+        return left
 
 
 def place_code(place: str) -> int:
@@ -191,33 +196,47 @@ def _host() -> F.Column:
     return F.lower(F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
+def _weighted(pages: DataFrame) -> DataFrame:
+    """``(host, html, weight)``: the copies of a page on a host share the weight 1. Pages without markup are left out."""
+    rows = pages.where("html is not null").select("host", "html", F.md5("html").alias("digest"))
+    repeated = stage(
+        rows.groupBy("host", "digest").agg(F.count("*").alias("copies")).where("copies > 1"), "repeated",
+        scratch_folder(pages.sparkSession),
+    )
+    return rows.join(broadcast_if_small(repeated, 128), ["host", "digest"], "left").select(
+        "host", "html", (1 / F.coalesce("copies", F.lit(1))).alias("weight")
+    )
+
+
 def style_counts(pages: DataFrame) -> DataFrame:
-    """``(host, kind, place, value, n)``: pages by place and content (kind 0) or layout of its parent (kind 1)."""
+    """``(host, kind, place, value, n)``: different pages by place and content (kind 0) or layout of its parent (kind 1)."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        counts: dict[tuple[str, int, int, int], int] = {}
-        for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+        counts: dict[tuple[str, int, int, int], float] = {}
+        for host, source, weight in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "weight"))):
             page = parse(source)
             seen = {(host, 0, place_code(p), place_code(t)) for p, t, main in page.blocks if main or not page.has_main}
             places = {p.rpartition("/")[0] for p, _, main in page.blocks if main or not page.has_main}
             seen |= {(host, 1, place_code(p), place_code(c)) for p, c in page.layouts if p in places}
             for key in seen:
-                counts[key] = counts.get(key, 0) + 1
+                counts[key] = counts.get(key, 0.0) + weight
             parents = {(host, 2, place_code(p), place_code(p.rpartition("/")[0]))
                        for p, _, main in page.blocks if main or not page.has_main}
             for key in parents:
-                counts[key] = counts.get(key, 0) + 1
+                counts[key] = counts.get(key, 0.0) + weight
         if not counts:
             return None
         hosts, kinds, places, values = zip(*counts)
         return pa.RecordBatch.from_arrays(
             [pa.array(hosts, pa.string()), pa.array(kinds, pa.int32()), pa.array(places, pa.int64()),
-             pa.array(values, pa.int64()), pa.array(counts.values(), pa.int64())],
+             pa.array(values, pa.int64()), pa.array(counts.values(), pa.float64())],
             ["host", "kind", "place", "value", "n"],
         )
 
-    found = map_batches(pages.select("host", "html"), run, "host string, kind int, place long, value long, n long", "html")
-    return found.groupBy("host", "kind", "place", "value").agg(F.sum("n").alias("n"))
+    found = map_batches(_weighted(pages), run, "host string, kind int, place long, value long, n double", "html")
+    # The shares of copies add up to whole pages.
+    counts = found.groupBy("host", "kind", "place", "value").agg(F.round(F.sum("n")).cast("long").alias("n"))
+    return stage(counts, "counts", scratch_folder(pages.sparkSession))
 
 
 def importance(counts: DataFrame) -> DataFrame:
