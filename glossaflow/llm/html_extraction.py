@@ -12,7 +12,9 @@ What the markup itself declares is decided first: navigation, footers, page head
 styles, and elements whose class, id or role names an advert, a notice, a menu, a sidebar or comments are no main
 text; if a page has an ``article`` or ``main`` element, text outside of it is none either. Where the tree would take
 more than ``MOST_OF_MAIN`` of the characters that a page declares as main text, as it does among near copies of an
-article, the page keeps what it declares.
+article, the page keeps what it declares. Names count as whole words (``sidebar``, ``ad``) or as known compounds of them
+(``main-menu``, ``share-buttons``), never on ``html``, ``body``, ``main`` or ``article``, and not at all on a page of
+which they would leave nothing.
 
 Two passes parse the pages, after one that counts digests of them; between them only counts per host, place and content
 are moved, combined per task. The tables of repeated digests and of places to leave out are joined by host (sent to all
@@ -56,11 +58,21 @@ NO_TEXT = frozenset("""
 head script style noscript template nav footer aside form button select option textarea label dialog menu iframe
 svg canvas object video audio map
 """.split())
-NO_TEXT_NAMES = re.compile(
-    r"(?:^|[-_])(?:ads?|advert(?:s|isements?|ising)?|sponsor(?:ed|s)?|promos?|promotions?|banners?|cookies?|consent|gdpr|"
+# Names of what is no main text: a whole class or id word, or one between a place it stands at and a kind of box.
+_NAME = (
+    r"(?:ads?|advert(?:s|isements?|ising)?|sponsor(?:ed|s)?|promos?|promotions?|banners?|cookies?|consent|gdpr|"
     r"notices?|alerts?|popups?|modal|newsletter|subscri(?:be|ption)|menus?|nav|navbar|navigation|breadcrumbs?|"
     r"side-?bars?|footers?|share|sharing|social|related|recommend(?:ed|ations)|comments?|comment-?list|respond|"
-    r"replies|widgets?|log-?in|sign-?up|search|pagination|pager|tags|skip)(?:$|[-_])", re.I)
+    r"replies|widgets?|log-?in|sign-?up|search|pagination|pager|tags|skip)"
+)
+_AT = r"(?:site|page|main|global|top|bottom|left|right|primary|secondary|mobile|sticky|google|entry|post|article)"
+_BOX = (
+    r"(?:box|bar|bars|wrap|wrapper|container|panel|widgets?|links?|buttons?|icons?|form|list|slot|unit|banner|notice|"
+    r"popup|overlay|menu|nav|posts|articles|left|right|top|bottom)"
+)
+NO_TEXT_NAMES = re.compile(rf"^(?:{_AT}[-_]+)?{_NAME}(?:[-_]+{_BOX})?$", re.I)
+# Elements that hold the page or its main text whatever their names say.
+NEVER_BY_NAME = frozenset("html body main article".split())
 NO_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
@@ -100,7 +112,9 @@ def place_code(place: str) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(place)).astype(np.int64))
 
 
-def _open(tag: str, attributes: str, parent: Node) -> Node:
+def _open(tag: str, attributes: str, parent: Node, by_name: bool) -> Node:
+    """An element below ``parent``; ``by_name``: whether its class and id may declare it to be no text."""
+    by_name = by_name and tag not in NEVER_BY_NAME
     names, silent = "", parent.silent or tag in NO_TEXT or (tag == "header" and not parent.main)
     main = tag in ("article", "main")
     if attributes and "=" in attributes or "hidden" in attributes:
@@ -109,7 +123,7 @@ def _open(tag: str, attributes: str, parent: Node) -> Node:
             name = name.lower()
             if name in ("class", "id"):
                 words = value.split()
-                silent = silent or any(map(NO_TEXT_NAMES.search, words))
+                silent = silent or by_name and any(map(NO_TEXT_NAMES.search, words))
                 names += "".join(f".{w}" for w in sorted(_DIGITS.sub("", w) for w in words))
             elif name == "role":
                 silent = silent or value.lower() in NO_TEXT_ROLES
@@ -122,7 +136,12 @@ def _open(tag: str, attributes: str, parent: Node) -> Node:
 
 
 def parse(source: str | None) -> Page:
-    """The blocks and layouts of a page."""
+    """The blocks and layouts of a page; names of elements are not asked if they would leave nothing of it."""
+    page = _parse(source, True)
+    return page if page.blocks or not source else _parse(source, False)
+
+
+def _parse(source: str | None, by_name: bool) -> Page:
     page, root = Page(), Node("", "", False, False)
     if not source:
         return page
@@ -185,7 +204,7 @@ def parse(source: str | None) -> Page:
             continue
         if found[3].endswith("/") and tag not in BLOCK:
             continue
-        stack.append(_open(tag, found[3], stack[-1]))
+        stack.append(_open(tag, found[3], stack[-1], by_name))
         owner = block_of()
     flush()
     close(1)
