@@ -1,9 +1,11 @@
 """Order MinHash fingerprints, in built-in functions only.
 
-A text becomes tokens: runs of at most ``TOKEN_CHARS`` characters without white space. Its k-mers are ``K`` tokens
+A text becomes tokens: words between white space, and single characters where a script does without spaces or a run is
+longer than ``WORD_CHARS``, so that an edit changes the tokens around it and none after it. Its k-mers are ``K`` tokens
 in a row, told apart by occurrence: the second time a k-mer comes up it is another element. A hash deals the
-elements into ``BINS`` bins; in each bin the two elements of least hash are selected and put back into their order
-in the text, and the hash of that ordered tuple is the bin's signature. Moving, inserting or replacing text changes
+elements into ``BINS`` bins; from the start of each filled bin, the two elements of least hash are selected (of a bin with
+one element, the second is the next one by hash, around the end to the first) and put back into their order
+in the text, and the hash of that ordered tuple is the bin's signature. Only a text of one element has no order. Moving, inserting or replacing text changes
 selected elements or their order, so the share of equal signatures falls with edit distance; multisets that are
 equal but differently ordered are told apart.
 
@@ -29,13 +31,20 @@ from glossaflow.scratch import scratch_folder, stage
 
 K = 3
 BINS = 64
-TOKEN_CHARS = 8
+WORD_CHARS = 24
+# Code points of scripts that set spaces between words. Others (Thai, Lao, Tibetan, Myanmar, Khmer, Han,
+# kana) are taken by character. Ranges, since script properties are slow to match.
+_SPACED = "[{}]".format("".join(
+    r"\x{%s}-\x{%s}" % tuple(r.split("-"))
+    for r in "21-dff 10a0-177f 1800-2e7f 3130-318f a000-a9df aa80-d7ff e000-f8ff fb00-feff 10000-1ffff".split()
+))
+_TOKEN = rf"(?<!{_SPACED}){_SPACED}{{1,{WORD_CHARS}}}+(?!{_SPACED})|\S"
 EMPTY_BIN = "----"
 _PLACES = (1 << 24) - 1
 
 
 def _tokens(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(r"\S{1,%d}" % TOKEN_CHARS), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
 
 
 def _packed(value: Column, place: Column) -> Column:
@@ -74,11 +83,11 @@ def _elements(kmers: str, begins: str) -> Column:
 
 
 def _signatures(elements: str, begins: str) -> Column:
-    """Signature by bin: of the two least elements of a bin, in text order."""
+    """Signature by bin: of the two least elements from the start of a bin, in text order."""
 
     def of_bin(i: Column) -> Column:
-        first, second = F.get(elements, i), F.get(elements, i + 1)
-        alone = second.isNull() | (_bin(first) != _bin(second))
+        first, second = F.get(elements, i), F.coalesce(F.get(elements, i + 1), F.get(elements, F.lit(0)))
+        alone = F.size(elements) == 1
         in_order = first.bitwiseAND(F.lit(_PLACES)) <= second.bitwiseAND(F.lit(_PLACES))
         a, b = _hash(first), _hash(second)
         value = F.when(alone, F.xxhash64(a)).when(in_order, F.xxhash64(a, b)).otherwise(F.xxhash64(b, a))
