@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from glossaflow.llm import (
     bpe,
     decontamination,
+    exact_dedup,
     html_extraction,
     jaccard_join,
     language_id,
@@ -95,6 +96,12 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents with equal texts; the one with the largest id stays."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return exact_dedup.exact_duplicates(docs, scan=True)
+
+
 QUERIES = {
     "op1_pack_tokens": op1_pack_tokens,
     "op2_byte_bpe": op2_byte_bpe,
@@ -106,5 +113,12 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_html_extraction": op9_html_extraction,
     "op10_order_minhash": op10_order_minhash,
+    "op11_exact_dedup": op11_exact_dedup,
+}
+SQL: dict[str, str] = {
+    "op11_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+            doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+        FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+    """,
 }
-SQL: dict[str, str] = {}
