@@ -18,6 +18,7 @@ from glossaflow.llm import (
     quotations,
     token_counts,
     toxicity,
+    whitening,
 )
 from glossaflow.llm.common import held_out, table
 from glossaflow.scratch import scratch_folder
@@ -102,6 +103,16 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(docs, scan=True)
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable embedding on the 16 main components, scaled to unit variance."""
+    white, model = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    explained = F.array(*[F.lit(float(e)) for e in model.explained]).cast("array<double>")
+    return white.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened")).select(
+        "vec_id", (F.col("place") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+        F.get(explained, F.col("place")).alias("explained"), F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
 QUERIES = {
     "op1_pack_tokens": op1_pack_tokens,
     "op2_byte_bpe": op2_byte_bpe,
@@ -114,6 +125,7 @@ QUERIES = {
     "op9_html_extraction": op9_html_extraction,
     "op10_order_minhash": op10_order_minhash,
     "op11_exact_dedup": op11_exact_dedup,
+    "op13_whitening": op13_whitening,
 }
 SQL: dict[str, str] = {
     "op11_exact_dedup": """
