@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from glossaflow.llm import (
     bpe,
+    conversation_repair,
     decontamination,
     exact_dedup,
     html_extraction,
@@ -103,6 +104,24 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(docs, scan=True)
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with faults by crc32 of ``conv_id:turn``; a dropped row stays as one with no copies."""
+    place = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    text, lot = F.coalesce("text", F.lit(" ")), F.crc32(place) % 20
+    return turns.select(
+        "conv_id", "turn",
+        F.when(lot == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(lot == 1, "").when(lot == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.when(lot == 0, 0).when(lot == 3, 2).otherwise(1).alias("copies"),
+    )
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations, their faults and the cheapest edits that repair them."""
+    summary, _ = conversation_repair.repair(damaged(table(spark, sf_dir, "conversations")))
+    return summary
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every usable embedding on the 16 main components, scaled to unit variance."""
     white, model = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
@@ -125,6 +144,7 @@ QUERIES = {
     "op9_html_extraction": op9_html_extraction,
     "op10_order_minhash": op10_order_minhash,
     "op11_exact_dedup": op11_exact_dedup,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_whitening": op13_whitening,
 }
 SQL: dict[str, str] = {
