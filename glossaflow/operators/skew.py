@@ -31,16 +31,17 @@ def key_hash(columns: Sequence[str]) -> Column:
 
 
 def hot_keys(
-    rows: DataFrame, units_of: Callable[[DataFrame], DataFrame], on: Sequence[str], sample: float = 0.02
+    rows: DataFrame, units_of: Callable[[DataFrame], DataFrame], on: Sequence[str], key: Column | None = None,
+    sample: float = 0.02,
 ) -> list[int]:
-    """Hashes of the keys that hold a noticeable share of the units of ``rows``.
+    """Hashes of the keys that hold a noticeable share of the units of ``rows``; ``key`` is the hash if it is there.
 
     A frequent-items sketch over the units of a sample of the rows: tasks send a sketch each, no rows are
     shuffled. The answer only steers where rows go, never which rows a join returns; a key the sample misses
     has a small share and costs a little time at worst.
     """
     units = units_of(rows.sample(sample, seed=1))
-    found = units.where(~_any_null(on)).select(key_hash(on).alias("h")).agg(
+    found = units.where(~_any_null(on)).select((key_hash(on) if key is None else key).alias("h")).agg(
         F.count("*").alias("n"), F.expr(f"approx_top_k(h, {MAX_HOT_KEYS}, {_TRACKED})").alias("top")
     ).first()
     floor = max(MIN_HOT_ROWS * sample, MIN_HOT_SHARE * found["n"])
@@ -79,10 +80,19 @@ def lookup_join(
     """
     keys = ["__hash", *on, *also]
     left = left.withColumn("__hash", F.when(F.col("text").isNull(), spread).otherwise(key_hash(on)))
+    return _salted(left, right, keys, spread, hot).drop("__hash")
+
+
+def id_join(left: DataFrame, right: DataFrame, keys: Sequence[str], spread: Column, hot: Sequence[int] = ()) -> DataFrame:
+    """Left join on content ids, the first of ``keys`` being the hash that ``hot`` lists. No key is null."""
+    return _salted(left, right, list(keys), spread, hot)
+
+
+def _salted(left: DataFrame, right: DataFrame, keys: list[str], spread: Column, hot: Sequence[int]) -> DataFrame:
     if hot:
-        is_hot = F.col("__hash").isin(list(hot))
+        is_hot = F.col(keys[0]).isin(list(hot))
         every = F.sequence(F.lit(0), F.lit(COPIES - 1))
         left = left.withColumn("__salt", F.when(is_hot, F.pmod(spread, F.lit(COPIES)).cast("int")).otherwise(0))
         right = right.withColumn("__salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
-        keys.append("__salt")
-    return left.join(right, keys, "left").drop("__hash", "__salt")
+        keys = [*keys, "__salt"]
+    return left.join(right, keys, "left").drop("__salt")

@@ -3,36 +3,32 @@
 The shape of the job follows the backend:
 
 * A native backend needs no shuffle. Texts are cut, fanned out over the targets and merged in one stage.
-* A lookup backend shuffles the units (sentences, words or texts) twice: to meet the table, and to come
-  back to their text. Targets travel in blocks, as a short array per unit, and are fanned out after the
-  merge, so a corpus with a hundred targets does not shuffle a hundred copies of its units.
+* A memory is looked up by the content of the units (sentences or texts). The texts are cut once, into a written
+  table of arrays. Their units then travel as a 16-byte content id each to meet the memory, which is keyed by the
+  same ids, and the translations found come back to the row of the cut table; no unit crosses the network
+  as a text. Targets travel in blocks, as a short array per unit, and a row per target is made of finished texts
+  only, so a corpus with a hundred targets does not shuffle a hundred copies of its units.
+* A word list meets the words as they are, which are shorter than an id.
 * A function backend is called once per distinct unit and target. The answers are written as a table,
-  which then serves as a lookup.
+  which then serves as a memory.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from glossaflow.functions.text import ENGLISH, SplitRules, merge_sentences, split_sentences, strip_newlines
 from glossaflow.operators.backends import LexiconBackend, MemoryBackend, NativeBackend, candidate_rank
 from glossaflow.operators.batching import FunctionBackend, apply_function, callers
-from glossaflow.operators.skew import (
-    MAX_HOT_KEYS,
-    MIN_HOT_ROWS,
-    fits_broadcast,
-    hashed,
-    hot_keys,
-    key_hash,
-    lookup_join,
-)
-from glossaflow.registry.languages import literal_list, small_table
-from glossaflow.scratch import scratch_folder, stage
+from glossaflow.operators.skew import MIN_HOT_ROWS, fits_broadcast, hashed, hot_keys, id_join, lookup_join
+from glossaflow.registry.languages import literal_list
+from glossaflow.scratch import path_exists, scratch_folder, stage
 
 Backend = NativeBackend | MemoryBackend | LexiconBackend | FunctionBackend
 
@@ -126,53 +122,168 @@ def explode_units(df: DataFrame, keys: Sequence[str], cutting: Cutting, words: b
     return units.withColumn("__rest", F.when(first, F.col("__rest")))
 
 
-def _lookup_side(table: DataFrame, targets: Sequence[str]) -> DataFrame:
-    """The best translation of every text, as one array over the slots of a block of targets."""
-    blocks = _blocks(targets)
-    places = [(t, b, s) for b, block in enumerate(blocks) for s, t in enumerate(block)]
-    slots = small_table(
-        table.sparkSession, {name: list(v) for name, v in zip(("target", "__block", "__slot"), zip(*places))}
-    )
+def content_id(source: Column, text: Column) -> list[Column]:
+    """Two 64-bit hashes that stand for a text of a language: ``__id``, which is :func:`key_hash` of both, and ``__id2``."""
+    return [F.xxhash64(source, text).alias("__id"), F.xxhash64(text, source).alias("__id2")]
+
+
+ID = ["__id", "__id2"]
+
+
+def _lookup_side(table: DataFrame, targets: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """The best translation of every key, as one array over the slots of a block of targets."""
+    place = F.array_position(literal_list(targets), F.col("target")).cast("int") - 1
     rank = candidate_rank(table)
-    placed = table.join(F.broadcast(slots), "target")
+    placed = table.where(F.col("target").isin(list(targets))).withColumns(
+        {"__block": F.floor(place / TARGETS_PER_BLOCK).cast("int"), "__slot": place % TARGETS_PER_BLOCK}
+    )
 
     def best(slot: int) -> Column:
         here = F.col("__slot") == slot
         return F.max_by(F.when(here, F.col("translation")), F.when(here, rank))
 
-    placed = hashed(placed.withColumn("__block", F.col("__block").cast("int")), ["source", "text"])
-    return placed.groupBy("__hash", "source", "text", *_block_key(targets)).agg(
-        F.array(*[best(i) for i in range(len(blocks[0]))]).alias("__hits")
+    return placed.groupBy(*keys, *_block_key(targets)).agg(
+        F.array(*[best(i) for i in range(len(_blocks(targets)[0]))]).alias("__hits")
     )
 
 
-def _translate_by_lookup(
+def _finished(
+    ready: DataFrame, rest: Sequence[str], keys: Sequence[str], targets: Sequence[str], keep_missing: bool
+) -> DataFrame:
+    """One row per target of a row's block, with finished texts.
+
+    ``ready`` holds, for the i-th key, ``__present<i>``, the array ``__units<i>`` and the aligned array ``__hits<i>`` of
+    translations by slot. All texts of a block are made in the row, slot by slot; the row per target gets its own ones only.
+    """
+    slots = F.lit(list(range(len(_blocks(targets)[0]))))
+
+    def text(i: int, slot: Column) -> Column:
+        found = F.zip_with(f"__units{i}", f"__hits{i}", lambda u, h: F.coalesce(F.get(h, slot), u))
+        return F.array_join(found, " ")
+
+    def missing(i: int, slot: Column) -> Column:
+        return F.size(F.filter(f"__hits{i}", lambda h: F.get(h, slot).isNull()))
+
+    def at(slot: Column) -> Column:
+        absent = {f"__n{i}": missing(i, slot) for i in range(len(keys))}
+        return F.struct(
+            F.get(_block_targets(targets), slot).alias("target"),
+            *[text(i, slot).alias(f"__text{i}") for i in range(len(keys))],
+            *[n.cast("long").alias(name) for name, n in absent.items()],
+        )
+
+    n_units = sum((F.size(f"__units{i}") for i in range(len(keys))), F.lit(0))
+    made = ready.withColumns({"__made": F.transform(slots, at), "n_units": n_units.cast("long")})
+    present = [f"__present{i}" for i in range(len(keys))]
+    fanned = made.select(*rest, *present, "n_units", F.inline("__made")).where("target is not null and target != source")
+
+    def usable(i: int) -> Column:
+        there = F.col(f"__present{i}")
+        return F.when(there if keep_missing else there & (F.col(f"__n{i}") == 0), F.col(f"__text{i}"))
+
+    n_missed = sum((F.col(f"__n{i}") for i in range(len(keys))), F.lit(0).cast("long"))
+    lacking = "miss" if keep_missing else "failed"
+    return fanned.select(
+        *rest,
+        "target",
+        *[usable(i).alias(key) for i, key in enumerate(keys)],
+        "n_units",
+        n_missed.alias("n_missed"),
+        F.when(n_missed > 0, lacking).otherwise("ok").alias("status"),
+    )
+
+
+def cut_once(df: DataFrame, keys: Sequence[str], cutting: Cutting, own: Sequence[str]) -> tuple[DataFrame, int]:
+    """The texts as arrays of units, written: ``__units<i>`` for the i-th key; and the number of units. Rows whose
+    language is among ``own`` keep their texts in ``__own``."""
+    rest = [c for c in df.columns if c not in keys]
+    originals = F.when(F.col("source").isin(list(own)), F.struct(*keys)).alias("__own")
+    units = {f"__units{i}": cutting.units(F.col(k)) for i, k in enumerate(keys)}
+    counted = Observation()
+    n = sum((F.coalesce(F.array_size(name), F.lit(0)) for name in units), F.lit(0))
+    rows = df.select(*rest, *[u.alias(name) for name, u in units.items()], originals)
+    cut = stage(rows.observe(counted, F.sum(n.cast("long")).alias("n")), "cut")
+    return cut, counted.get["n"] or 0
+
+
+def _units_of_cut(cut: DataFrame, n_keys: int) -> DataFrame:
+    """``(row_id, source, __key, __pos, text)`` of every unit."""
+    arrays = F.array(*[f"__units{i}" for i in range(n_keys)])
+    texts = cut.select("row_id", "source", F.posexplode(arrays).alias("__key", "__whole"))
+    return texts.select("row_id", "source", "__key", F.posexplode("__whole").alias("__pos", "text"))
+
+
+def _memory_side(table: DataFrame, targets: Sequence[str]) -> DataFrame:
+    """The memory by content id. As a written table it reaches the join by a plain exchange, which adaptive skew
+    splitting needs."""
+    table = table.where(F.col("source").isNotNull() & F.col("text").isNotNull())
+    known = table.select("*", *content_id(F.col("source"), F.col("text")))
+    return stage(_lookup_side(known, targets, ID), "lookup")
+
+
+def _translate_by_content(
+    cut: DataFrame,
+    side: DataFrame,
+    keys: Sequence[str],
+    targets: Sequence[str],
+    keep_missing: bool,
+    hot: Sequence[int] | None,
+    rebalance: Sequence[str] | None,
+) -> DataFrame:
+    rest = [c for c in cut.columns if not c.startswith("__")]
+
+    def ids_of(rows: DataFrame) -> DataFrame:
+        units = _units_of_cut(rows, len(keys))
+        return units.select("row_id", "__key", "__pos", *content_id(F.col("source"), F.col("text")))
+
+    if hot is None:
+        hot = hot_keys(cut, ids_of, ["__id"], F.col("__id"))
+    units = _with_block(ids_of(cut), targets)
+    joined = id_join(units, side, [*ID, *_block_key(targets)], F.xxhash64("row_id", "__key", "__pos"), hot)
+    found = F.struct("__key", "__pos", "__hits")
+    merged = joined.groupBy("row_id", "__block").agg(F.sort_array(F.collect_list(found)).alias("__found"))
+
+    def hits(i: int) -> Column:
+        mine = F.filter("__found", lambda u: u["__key"] == i) if len(keys) > 1 else F.col("__found")
+        return F.coalesce(F.transform(mine, lambda u: u["__hits"]), F.array().cast("array<array<string>>"))
+
+    nothing = F.array().cast("array<string>")
+    rows = _with_block(cut.drop("__own"), targets)
+    ready = rows.join(merged, ["row_id", "__block"], "left").select(
+        *rest,
+        "__block",
+        *[F.col(f"__units{i}").isNotNull().alias(f"__present{i}") for i in range(len(keys))],
+        *[F.coalesce(f"__units{i}", nothing).alias(f"__units{i}") for i in range(len(keys))],
+        *[hits(i).alias(f"__hits{i}") for i in range(len(keys))],
+    )
+    if rebalance is not None:
+        ready = ready.hint("rebalance", "__block", *rebalance)
+    return _finished(ready, rest, keys, targets, keep_missing)
+
+
+def _translate_by_words(
     df: DataFrame,
     keys: Sequence[str],
     targets: Sequence[str],
-    backend: MemoryBackend | LexiconBackend,
+    backend: LexiconBackend,
     cutting: Cutting,
     hot: Sequence[int] | None,
     rebalance: Sequence[str] | None,
 ) -> DataFrame:
-    by_word = isinstance(backend, LexiconBackend)
-
     def units_of(rows: DataFrame) -> DataFrame:
-        units = explode_units(rows, keys, cutting, words=by_word).withColumnRenamed("text", "__unit")
-        return units.withColumn("text", F.lower("__unit") if by_word else F.col("__unit"))
+        units = explode_units(rows, keys, cutting, words=True).withColumnRenamed("text", "__unit")
+        return units.withColumn("text", F.lower("__unit"))
 
-    side = _lookup_side(backend.table, targets)
-    if by_word and fits_broadcast(backend.table, ["source", "target", "text", "translation"]):
+    side = _lookup_side(hashed(backend.table, ["source", "text"]), targets, ["__hash", "source", "text"])
+    if fits_broadcast(backend.table, ["source", "target", "text", "translation"]):
         # words stay where they are; a longer word list takes the salted join
         side, hot = F.broadcast(side), ()
     else:
-        # as a written table the side reaches the join by a plain exchange, which adaptive skew splitting needs
         side = stage(side, "lookup")
         if hot is None:
             hot = hot_keys(df, units_of, ["source", "text"])
-    units = _with_block(units_of(df), targets)
     joined = lookup_join(
-        units,
+        _with_block(units_of(df), targets),
         side,
         ["source", "text"],
         F.xxhash64("row_id", "__key", "__pos"),
@@ -182,49 +293,28 @@ def _translate_by_lookup(
     unit = F.struct("__key", "__pos", "__unit", "__hits")
     merged = joined.groupBy("row_id", "__block").agg(
         F.first("__rest", ignorenulls=True).alias("__rest"),
-        F.sort_array(F.collect_list(F.when(F.col("__pos").isNotNull(), unit))).alias("__units"),
+        F.sort_array(F.collect_list(F.when(F.col("__pos").isNotNull(), unit))).alias("__found"),
         *[
             F.bool_or(F.when(F.col("__key") == i, F.col("__present"))).alias(f"__present{i}")
             for i in range(len(keys))
         ],
     )
 
-    def units_of(i: int) -> Column:
-        return F.filter("__units", lambda u: u["__key"] == i) if len(keys) > 1 else F.col("__units")
+    def part(i: int, name: str) -> Column:
+        mine = F.filter("__found", lambda u: u["__key"] == i) if len(keys) > 1 else F.col("__found")
+        return F.transform(mine, lambda u: u[name])
 
     rest = [c for c in df.columns if c not in keys]
     ready = merged.select(
         *[F.col("__rest")[c].alias(c) for c in rest],
         "__block",
         *[f"__present{i}" for i in range(len(keys))],
-        *[units_of(i).alias(f"__units{i}") for i in range(len(keys))],
+        *[part(i, "__unit").alias(f"__units{i}") for i in range(len(keys))],
+        *[part(i, "__hits").alias(f"__hits{i}") for i in range(len(keys))],
     )
     if rebalance is not None:
         ready = ready.hint("rebalance", "__block", *rebalance)
-    helpers = [f"__{part}{i}" for part in ("present", "units") for i in range(len(keys))]
-    fanned = _fan_out(ready, targets, [*rest, *helpers])
-    slot = F.col("__slot")
-
-    def missing(i: int) -> Column:
-        return F.size(F.filter(f"__units{i}", lambda u: F.get(u["__hits"], slot).isNull()))
-
-    def merged_text(i: int) -> Column:
-        text = F.array_join(
-            F.transform(f"__units{i}", lambda u: F.coalesce(F.get(u["__hits"], slot), u["__unit"])), " "
-        )
-        usable = F.col(f"__present{i}") if backend.keep_missing else F.col(f"__present{i}") & (missing(i) == 0)
-        return F.when(usable, text)
-
-    n_missed = sum((missing(i) for i in range(len(keys))), F.lit(0))
-    n_units = sum((F.size(f"__units{i}") for i in range(len(keys))), F.lit(0))
-    lacking = "miss" if backend.keep_missing else "failed"
-    return fanned.select(
-        *rest,
-        "target",
-        *[merged_text(i).alias(key) for i, key in enumerate(keys)],
-        n_units.cast("long").alias("n_units"),
-        n_missed.cast("long").alias("n_missed"),
-    ).withColumn("status", F.when(F.col("n_missed") > 0, lacking).otherwise("ok"))
+    return _finished(ready, rest, keys, targets, backend.keep_missing)
 
 
 def _translate_natively(
@@ -260,20 +350,13 @@ def _translate_natively(
     )
 
 
-def translate_units(
-    units: DataFrame, targets: Sequence[str], backend: FunctionBackend, store: str | None = None
-) -> DataFrame:
-    """Call the function once per distinct ``(source, text)`` and target and keep the answers as a table.
+def _ask(texts: DataFrame, targets: Sequence[str], backend: FunctionBackend, store: str) -> DataFrame:
+    """Have distinct ``(source, text, n_rows)`` answered, and return the stored answers to the targets.
 
-    ``store`` names the table's folder. Pairs already answered there are not sent again, so an interrupted
-    or repeated run goes on where the last one stopped. Returns ``(source, target, text, translation,
-    n_rows, status, attempts, error)``, one row per wanted text and target: an ``ok`` answer if there is one.
+    Pairs already answered in ``store`` are not sent again, so an interrupted or repeated run goes on where the last
+    one stopped.
     """
-    spark = units.sparkSession
-    store = store or f"{scratch_folder(spark)}/translations"
-    units = with_known_source(units)
-    texts = units.where(F.col("text").isNotNull()).groupBy("source", "text").agg(F.count("*").alias("n_rows"))
-    asked = texts
+    spark = texts.sparkSession
     wanted = literal_list(targets)
     done = read_store(spark, store)
     if done is not None:
@@ -288,34 +371,46 @@ def translate_units(
     calls = (
         texts.select("source", "text", "n_rows", F.array_remove(wanted, F.col("source")).alias("__targets"))
         .where(F.size("__targets") > 0)
-        .repartition(callers(units, backend), "source", "text")
+        .repartition(callers(texts, backend), "source", "text")
         .select("source", F.explode("__targets").alias("target"), "text", "n_rows")
     )
     answers = apply_function(calls, backend)
     # tasks commit straight into the store, so what was answered before a job failed is kept
     answers.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(store)
-    stored = spark.read.schema(answers.schema).parquet(store).where(F.col("target").isin(list(targets)))
+    return spark.read.schema(answers.schema).parquet(store).where(F.col("target").isin(list(targets)))
+
+
+def distinct_units(units: DataFrame) -> DataFrame:
+    """``(source, text, n_rows)`` of ``(source, text)`` rows; null texts are left out."""
+    return units.where(F.col("text").isNotNull()).groupBy("source", "text").agg(F.count("*").alias("n_rows"))
+
+
+def translate_units(
+    units: DataFrame, targets: Sequence[str], backend: FunctionBackend, store: str | None = None
+) -> DataFrame:
+    """Call the function once per distinct ``(source, text)`` and target and keep the answers as a table.
+
+    ``store`` names the table's folder; what is answered there is not asked again. Returns ``(source, target, text,
+    translation, n_rows, status, attempts, error)``, one row per wanted text and target: an ``ok`` answer if there is one.
+    """
+    texts = distinct_units(with_known_source(units))
+    stored = _ask(texts, targets, backend, store or f"{scratch_folder(units.sparkSession)}/translations")
     kept = ["translation", "status", "attempts", "error"]
     best = F.max_by(F.struct(*kept), F.struct(F.col("status") == "ok", "attempts", "translation"))
     one = stored.groupBy("source", "text", "target").agg(best.alias("__best"))
-    return one.join(asked, ["source", "text"]).select(
+    return one.join(texts, ["source", "text"]).select(
         "source", "target", "text", "__best.translation", "n_rows", *[F.col("__best")[c].alias(c) for c in kept[1:]]
     )
 
 
-def hot_answers(answers: DataFrame) -> list[int]:
-    """Hashes of the texts that occur most in this run."""
-    often = answers.where(F.col("n_rows") >= MIN_HOT_ROWS)
-    most = often.groupBy("source", "text").agg(F.max("n_rows").alias("n_rows")).orderBy(F.desc("n_rows"))
-    return [r["h"] for r in most.limit(MAX_HOT_KEYS).select(key_hash(["source", "text"]).alias("h")).collect()]
-
-
 def read_store(spark: SparkSession, store: str) -> DataFrame | None:
     """The stored answers, or None before the first run."""
+    if not path_exists(spark, store):
+        return None
     try:
         return spark.read.parquet(store)
     except AnalysisException as problem:
-        if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if problem.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # no task of an earlier run got that far
             return None
         raise
 
@@ -350,24 +445,41 @@ def translate(
     if taken:
         raise ValueError(f"columns the result adds are already there: {', '.join(sorted(taken))}")
     df = with_known_source(df)
-    if isinstance(backend, NativeBackend):
-        out = _translate_natively(df, keys, targets, backend, cutting, rebalance)
+    if isinstance(backend, (MemoryBackend, FunctionBackend)):
+        originals = targets if copy_own_language else ()
+        if isinstance(backend, MemoryBackend):
+            # neither job waits for the other
+            with ThreadPoolExecutor(1) as pool:
+                reduced = pool.submit(_memory_side, backend.table, targets)
+                cut, n_units = cut_once(df, keys, cutting, originals)
+                side, keep_missing = reduced.result(), backend.keep_missing
+        else:
+            cut, n_units = cut_once(df, keys, cutting, originals)
+            texts = distinct_units(_units_of_cut(cut, len(keys)))
+            earlier = store is not None and read_store(df.sparkSession, store) is not None
+            stored = _ask(texts, targets, backend, store or f"{scratch_folder(df.sparkSession)}/translations")
+            answers = stored.where(F.col("status") == "ok")
+            if earlier:  # it may hold far more than this corpus
+                answers = answers.join(texts, ["source", "text"], "left_semi")
+            side, keep_missing = _memory_side(answers, targets), False
+        if n_units < MIN_HOT_ROWS and hot is None:
+            hot = ()  # no unit can occur often enough
+        out = _translate_by_content(cut, side, keys, targets, keep_missing, hot, rebalance)
+        own = cut.where(F.col("__own").isNotNull())
+        texts_of_own = [F.col("__own")[k].alias(k) for k in keys]
     else:
-        if isinstance(backend, FunctionBackend):
-            units = explode_units(df, keys, cutting).select("source", "text")
-            answers = translate_units(units, targets, backend, store).where(F.col("status") == "ok")
-            if hot is None:
-                hot = hot_answers(answers)
-            backend = MemoryBackend(answers, backend.name, keep_missing=False)
-        out = _translate_by_lookup(df, keys, targets, backend, cutting, hot, rebalance)
+        if isinstance(backend, NativeBackend):
+            out = _translate_natively(df, keys, targets, backend, cutting, rebalance)
+        else:
+            out = _translate_by_words(df, keys, targets, backend, cutting, hot, rebalance)
+        own, texts_of_own = df.where(F.col("source").isin(targets)), list(keys)
     if not copy_own_language:
         return out
-    own = df.where(F.col("source").isin(targets)).select(
+    return out.unionByName(own.select(
         *[c for c in df.columns if c not in keys],
         F.col("source").alias("target"),
-        *keys,
+        *texts_of_own,
         F.lit(0).cast("long").alias("n_units"),
         F.lit(0).cast("long").alias("n_missed"),
         F.lit("copied").alias("status"),
-    )
-    return out.unionByName(own)
+    ))

@@ -49,10 +49,20 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scopes.remove(folders)
-        jvm = spark.sparkContext._jvm
         for folder in folders:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            system, path = file_system(spark, folder)
+            system.delete(path, True)
+
+
+def file_system(spark: SparkSession, folder: str):
+    """The file system that holds ``folder``, and ``folder`` as a path of it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def path_exists(spark: SparkSession, folder: str) -> bool:
+    system, path = file_system(spark, folder)
+    return system.exists(path)
 
 
 def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:

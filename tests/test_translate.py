@@ -335,8 +335,12 @@ def test_plans(spark, sf_dir, memory):
     assert "NestedLoop" not in native
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in native
     lookup = plan_of(translate(docs, ["text"], TARGETS, MemoryBackend(memory), copy_own_language=False, hot=()))
-    # the texts are read once; the other scan is the reduced memory, which was written for the join
-    assert lookup.count("struct<doc_id:bigint,text:string>") == 1 and lookup.count("FileScan parquet") == 2
+    # the texts were read and cut once, before: the plan reads the cut table (ids, then rows) and the reduced memory
+    assert "struct<doc_id:bigint,text:string>" not in lookup and lookup.count("FileScan parquet") == 3
+    exchanges = [line for line in lookup.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and not any("text" in line for line in exchanges)
+    fan_out = lookup[:lookup.index("Generate inline")]
+    assert "__hits" not in fan_out and "__found" not in fan_out
     assert "Cartesian" not in lookup and "NestedLoop" not in lookup and "Python" not in lookup
     balanced = plan_of(translate(docs, ["text"], TARGETS, TAG, copy_own_language=False, rebalance=["source"]))
     assert "REBALANCE_PARTITIONS_BY_COL" in balanced
