@@ -21,7 +21,8 @@ class FunctionBackend:
     """A user's batch function ``(source, target, texts) -> translations``.
 
     ``load`` is called once per Python worker and returns the function, so a model is loaded once.
-    ``parallelism`` bounds the number of concurrent callers (partitions of the calling stage).
+    ``parallelism`` bounds the number of concurrent callers (partitions of the calling stage). After ``give_up_after``
+    failed calls for parts of a batch and none that succeeded, the whole batch counts as failed.
     """
 
     load: Callable[[], TranslateFunction]
@@ -32,6 +33,7 @@ class FunctionBackend:
     retry_wait: tuple[float, float] = (2.0, 5.0)
     pause: tuple[float, float] = (0.0, 0.0)
     parallelism: int | None = None
+    give_up_after: int = 16
     sleep: Callable[[float], None] = time.sleep
 
 
@@ -59,16 +61,18 @@ def cut_batches(sizes: Iterable[int], max_rows: int, max_bytes: int) -> Iterator
 
 
 def call_with_retry(
-    backend: FunctionBackend, function: TranslateFunction, source: str, target: str, texts: list[str]
+    backend: FunctionBackend, function: TranslateFunction, source: str, target: str, texts: list[str],
+    tries: int | None = None,
 ) -> tuple[list[str | None], str, int, str | None]:
     """``(translations, status, attempts, error)`` of one call; stops at the first success."""
     error = None
-    for attempt in range(1, backend.max_tries + 1):
+    tries = tries or backend.max_tries
+    for attempt in range(1, tries + 1):
         try:
             answer = list(function(source, target, texts))
         except Exception as problem:
             error = f"{type(problem).__name__}: {problem}"
-            if attempt < backend.max_tries:
+            if attempt < tries:
                 backend.sleep(random.uniform(*backend.retry_wait))
             continue
         if len(answer) != len(texts):
@@ -76,7 +80,39 @@ def call_with_retry(
         if backend.pause[1] > 0:
             backend.sleep(random.uniform(*backend.pause))
         return answer, "ok", attempt, None
-    return [None] * len(texts), "failed", backend.max_tries, error
+    return [None] * len(texts), "failed", tries, error
+
+
+def call_in_parts(
+    backend: FunctionBackend, function: TranslateFunction, source: str, target: str, texts: list[str]
+) -> list[tuple[str | None, str, int, str | None]]:
+    """``(translation, status, attempts, error)`` per text; texts that make a call fail do not cost the others.
+
+    A call that fails for good is cut in halves, these again, level by level, until the texts that cause it are alone.
+    Parts of several texts get one try, single texts all of them. With b such texts among m this takes at most
+    2 b (1 + log2 m) calls. If nothing succeeds in ``give_up_after`` parts, the cause is not in the texts: the rest
+    has failed as the whole did. ``attempts`` are those of the call that decided about the text.
+    """
+    answer, *rest = call_with_retry(backend, function, source, target, texts)
+    results = [(t, *rest) for t in answer]
+    parts = [(0, len(texts))] if rest[0] == "failed" and len(texts) > 1 else []
+    failures, some = 0, False
+    while parts and (some or failures < backend.give_up_after):
+        start, end = parts.pop(0)
+        middle = (start + end) // 2
+        for low, high in ((start, middle), (middle, end)):
+            tries = backend.max_tries if high - low == 1 else 1
+            answer, *rest = call_with_retry(backend, function, source, target, texts[low:high], tries)
+            if rest[0] == "ok":
+                some = True
+                results[low:high] = [(t, *rest) for t in answer]
+            else:
+                failures += 1
+                if high - low == 1:
+                    results[low:high] = [(None, *rest)]
+                else:
+                    parts.append((low, high))
+    return results
 
 
 _RESULT = [
@@ -101,38 +137,78 @@ def deal_by_pair(df: DataFrame, backend: FunctionBackend, spread: Column) -> Dat
     return df.repartition(parts, "source", "target", F.pmod(spread, F.lit(parts)))
 
 
+class _Pending:
+    """Rows of one language pair that wait until a call is full."""
+
+    def __init__(self):
+        self.rows: list[tuple[pa.RecordBatch, int]] = []
+        self.texts: list[str] = []
+        self.size = 0
+
+
+def _gathered(rows: list[tuple[pa.RecordBatch, int]]) -> list[pa.Array]:
+    """The columns of rows that lie in several record batches."""
+    runs: list[tuple[pa.RecordBatch, list[int]]] = []
+    for batch, i in rows:
+        if not runs or runs[-1][0] is not batch:
+            runs.append((batch, []))
+        runs[-1][1].append(i)
+    parts = [batch.take(pa.array(places)) for batch, places in runs]
+    return [pa.concat_arrays([p.column(c) for p in parts]) for c in range(parts[0].num_columns)]
+
+
 def apply_function(df: DataFrame, backend: FunctionBackend) -> DataFrame:
     """Translate ``(source, target, text, ...)`` rows; adds translation, status, attempts and error.
 
-    Each partition is sorted by language pair, so that calls are full and see one pair each. Null texts are
-    answered with null and not sent.
+    Rows of a language pair wait, across record batches, until a call is full, so all calls of a task but the last of
+    each pair are; nothing is sorted. What waits is less than one call per pair. Rows come out in the order of the calls.
+    Null texts are answered with null and not sent.
     """
     schema = StructType([*df.schema.fields, *_RESULT])
     arrow = to_arrow_schema(schema)
+    types = [f.type for f in list(arrow)[-len(_RESULT):]]
+
+    def made(rows: list[tuple[pa.RecordBatch, int]], results: list[tuple]) -> pa.RecordBatch:
+        added = [pa.array(values, type=t) for values, t in zip(zip(*results), types)]
+        return pa.RecordBatch.from_arrays([*_gathered(rows), *added], names=arrow.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = None
-        for batch in batches:
+        waiting: dict[tuple[str, str], _Pending] = {}
+
+        def called(pair: tuple[str, str]) -> pa.RecordBatch:
+            nonlocal function
             function = function or backend.load()
-            sources, targets, texts = (batch.column(c).to_pylist() for c in ("source", "target", "text"))
-            results: list[tuple] = [(None, "ok", 0, None)] * len(texts)
-            by_pair: dict[tuple[str, str], list[int]] = {}
-            for i, text in enumerate(texts):
-                if text is not None:
-                    by_pair.setdefault((sources[i], targets[i]), []).append(i)
-            for (source, target), rows in by_pair.items():
-                sizes = (len(texts[i].encode()) for i in rows)
-                for start, end in cut_batches(sizes, backend.batch_rows, backend.batch_bytes):
-                    chosen = rows[start:end]
-                    answer, *rest = call_with_retry(backend, function, source, target, [texts[i] for i in chosen])
-                    for i, translation in zip(chosen, answer):
-                        results[i] = (translation, *rest)
-            added = [pa.array(values, type=f.type) for values, f in zip(zip(*results), list(arrow)[-len(_RESULT):])]
-            if not results:
-                continue
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=arrow.names)
-
-    return df.sortWithinPartitions("source", "target").mapInArrow(run, schema)
+            full = waiting.pop(pair)
+            return made(full.rows, call_in_parts(backend, function, *pair, full.texts))
+
+        for batch in batches:
+            unsent = []
+            for i, (source, target, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("source", "target", "text")))):
+                if text is None:
+                    unsent.append((batch, i))
+                    continue
+                size = len(text.encode())
+                pair = source, target
+                held = waiting.get(pair)
+                if held and (len(held.texts) == backend.batch_rows or held.size + size > backend.batch_bytes):
+                    yield called(pair)
+                held = waiting.setdefault(pair, _Pending())
+                held.rows.append((batch, i))
+                held.texts.append(text)
+                held.size += size
+            if unsent:
+                yield made(unsent, [(None, "ok", 0, None)] * len(unsent))
+            for held in waiting.values():
+                # what waits keeps copies of its rows, not the batch they came in
+                fresh = [row for row in held.rows if row[0] is batch]
+                if fresh:
+                    copy = pa.RecordBatch.from_arrays(_gathered(fresh), names=batch.schema.names)
+                    held.rows[-len(fresh):] = [(copy, i) for i in range(len(fresh))]
+        for pair in list(waiting):
+            yield called(pair)
+
+    return df.mapInArrow(run, schema)
 
 
 def batched_map(

@@ -39,6 +39,9 @@ from glossaflow.streaming.requests import REQUEST_SCHEMA, read_answers, stream_r
 
 LABELS = sinks.RunLabels("documents", "plain", "facebook/nllb-200-3.3B", date(2024, 1, 31))
 
+# A sentence above this length cannot be served by the backend of `poisoned_calls`.
+LONGEST_SENTENCE = 400
+
 # ISO-639 rows the audit query checks against: one as published, two altered, the rest left out.
 ISO_SAMPLE = {
     "name": ["English", "German", "French"],
@@ -292,6 +295,15 @@ def _marking_without_zulu():
     return call
 
 
+def _marking_short_texts():
+    def call(source, target, texts):
+        if any(len(text) > LONGEST_SENTENCE for text in texts):
+            raise ValueError("text too long")
+        return [f"{source}>{target}: {text}" for text in texts]
+
+    return call
+
+
 def translate_function(spark, sf_dir):
     return translate(documents(spark, sf_dir), ["text"], TARGETS, FunctionBackend(_marking, batch_rows=1000))
 
@@ -307,9 +319,19 @@ def failed_rows(spark, sf_dir):
     )
 
 
+def poisoned_calls(spark, sf_dir):
+    """Answers of a backend that fails for a whole call if one text in it is too long: only those texts fail."""
+    units = explode_units(documents(spark, sf_dir), ["text"], SENTENCES).select("source", "text")
+    backend = FunctionBackend(_marking_short_texts, batch_rows=200, max_tries=2, retry_wait=(0.0, 0.0), give_up_after=400)
+    return translate_units(units, TARGETS[:1], backend).select(
+        "source", "target", F.md5("text").alias("digest"), F.md5("translation").alias("translated"), "status", "error"
+    )
+
+
 def batched_map_query(spark, sf_dir):
     def measure(batch):
-        return {"row_id": batch["row_id"], "text": [f"{len(text)}:{text}" for text in batch["text"]]}
+        texts = [None if text is None else f"{len(text)}:{text}" for text in batch["text"]]
+        return {"row_id": batch["row_id"], "text": texts}
 
     return batched_map(documents(spark, sf_dir).select("row_id", "text"), measure, batch_size=40)
 
@@ -401,5 +423,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_requests": stream_requests_query,
     "run_metrics": run_metrics,
     "failed_rows": failed_rows,
+    "poisoned_calls": poisoned_calls,
     "translate_corpus": translate_corpus,
 }

@@ -1,9 +1,11 @@
 import pytest
+from pyspark.sql import functions as F
 
 from glossaflow.operators.batching import (
     FunctionBackend,
     apply_function,
     batched_map,
+    call_in_parts,
     call_with_retry,
     cut_batches,
     remote_function,
@@ -121,3 +123,93 @@ def test_batched_map_gives_column_batches(spark):
     out = batched_map(df, size, batch_size=40).collect()
     assert sorted(r["id"] for r in out) == list(range(1000))
     assert all(int(r["text"].split("/")[1]) <= 40 for r in out)
+
+
+def poisoned(bad, calls):
+    def call(source, target, texts):
+        calls.append(len(texts))
+        if any(t in bad for t in texts):
+            raise ValueError("bad text")
+        return [t.upper() for t in texts]
+
+    return call
+
+
+def quick(**options):
+    return FunctionBackend(None, sleep=lambda seconds: None, **options)
+
+
+@pytest.mark.parametrize("bad", [[0], [999], [500], [0, 1], [3, 400, 401, 998]])
+def test_a_bad_text_costs_only_itself(bad):
+    texts, calls = [f"t{i}" for i in range(1000)], []
+    found = call_in_parts(quick(), poisoned({texts[i] for i in bad}, calls), "a", "b", texts)
+    assert [i for i, r in enumerate(found) if r[1] == "failed"] == bad
+    assert all(r == (t.upper(), "ok", 1, None) for i, (t, r) in enumerate(zip(texts, found)) if i not in bad)
+    assert all(found[i] == (None, "failed", 5, "ValueError: bad text") for i in bad)
+    # five tries for the whole, one call per part, five tries for a text alone
+    assert len(calls) <= 5 + len(bad) * (2 * 10 + 5)
+
+
+def test_a_backend_that_is_down_is_not_asked_for_every_text():
+    texts, calls = [f"t{i}" for i in range(1000)], []
+    found = call_in_parts(quick(), poisoned(set(texts), calls), "a", "b", texts)
+    assert {r[1:] for r in found} == {("failed", 5, "ValueError: bad text")}
+    assert len(calls) <= 5 + 17
+
+
+def test_a_part_that_answers_wrongly_raises():
+    def call(source, target, texts):
+        if len(texts) > 2:
+            raise ValueError("too many")
+        return []
+
+    with pytest.raises(ValueError, match="0 translations for 2"):
+        call_in_parts(quick(), call, "a", "b", ["x"] * 4)
+
+
+def test_calls_are_full_across_record_batches(spark):
+    """1,000 rows in two pairs, in record batches of 7 rows: every call but the last of a pair and task has 16 texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        rows = [("s", "tu"[i % 2], None if i % 50 == 0 else f"text {i}", i) for i in range(1000)]
+        df = spark.createDataFrame(rows, "source string, target string, text string, id long").repartition(2)
+
+        def load():
+            number = iter(range(10**6))
+
+            def call(source, target, texts):
+                n = next(number)
+                return [f"{n}/{len(texts)}/{t}" for t in texts]
+
+            return call
+
+        out = apply_function(df, FunctionBackend(load, batch_rows=16)).withColumn("part", F.spark_partition_id())
+        assert "Sort" not in out._jdf.queryExecution().executedPlan().toString()
+        got = out.collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((r["id"], r["source"], r["target"], r["text"]) for r in got) == sorted((i, s, t, x) for s, t, x, i in rows)
+    sizes = {}
+    for r in got:
+        if r["text"] is None:
+            assert r["translation"] is None and r["attempts"] == 0
+            continue
+        n, size, text = r["translation"].split("/", 2)
+        assert text == r["text"]
+        sizes.setdefault((r["part"], r["target"]), {})[int(n)] = int(size)
+    for calls in sizes.values():
+        assert all(size == 16 for n, size in calls.items() if n != max(calls))
+
+
+def test_byte_limit_across_record_batches(spark):
+    df = spark.createDataFrame([("s", "t", "x" * (i % 40 + 1)) for i in range(200)], "source string, target string, text string")
+
+    def load():
+        def call(source, target, texts):
+            assert len(texts) == 1 or sum(map(len, texts)) <= 30
+            return texts
+
+        return call
+
+    out = apply_function(df.coalesce(1), FunctionBackend(load, batch_bytes=30, max_tries=1)).collect()
+    assert all(r["translation"] == r["text"] and r["status"] == "ok" for r in out) and len(out) == 200
