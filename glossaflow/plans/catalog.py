@@ -105,10 +105,12 @@ def jsonl_roundtrip(spark, sf_dir):
 
 
 def output_layout(spark, sf_dir):
-    groups = documents(spark, sf_dir).groupBy("source", "split").agg(F.count("*").alias("n_rows"))
-    pairs = groups.withColumn("target", F.explode(registry.literal_list(TARGETS)))
-    files = sinks.label(pairs, LABELS).withColumn("extension", F.explode(F.array(F.lit("csv"), F.lit("jsonl"))))
-    return files.select(sinks.split_path("out", F.col("extension")).alias("path"), "n_rows")
+    """The folders an export into two formats wrote, and the rows their files hold."""
+    folder = scratch_folder(spark)
+    table_of_record = sinks.label(translate(documents(spark, sf_dir), ["text"], TARGETS, TAG, WHOLE_TEXTS), LABELS)
+    paths = sinks.export_splits(table_of_record, f"{folder}/out", ["row_id", "text"])
+    written = sinks.written_rows(spark, paths, table_of_record.select("row_id", "text").schema)
+    return written.select(F.regexp_extract("path", f"{folder.split('/')[-1]}/(.*)$", 1).alias("path"), "n_rows")
 
 
 def source_copy(spark, sf_dir):

@@ -57,7 +57,10 @@ def corpus_rows(
     data = with_known_source(data)
     chosen = data if splits is None else select_splits(data, splits)
     translated = translate(chosen, keys, targets, backend, cutting, copy_own_language=False, **translate_options)
-    return translated.unionByName(source_copy(data))
+    even = translate_options.get("rebalance")
+    # without it every scan task would write a small file per language and split
+    copied = data if even is None else data.hint("rebalance", "source", *even)
+    return translated.unionByName(source_copy(copied))
 
 
 def translate_corpus(

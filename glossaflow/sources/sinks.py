@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from glossaflow.functions.text import pair_label, path_slug, run_date_label
+from glossaflow.registry.languages import small_table
+from glossaflow.scratch import file_system
 
 CSV_OPTIONS = {
     "header": "true",
@@ -42,19 +48,19 @@ class RunLabels:
         }
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    df.write.mode("overwrite").partitionBy(*partition_by).options(**CSV_OPTIONS).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], schema) -> DataFrame:
     return spark.read.schema(schema).options(multiLine="true", **CSV_OPTIONS).csv(path)
 
 
-def write_jsonl(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+def write_jsonl(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    df.write.mode("overwrite").partitionBy(*partition_by).option("ignoreNullFields", "false").json(path)
 
 
-def read_jsonl(spark: SparkSession, path: str, schema) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str | list[str], schema) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
@@ -74,28 +80,71 @@ def write_canonical(df: DataFrame, path: str) -> None:
 
 
 def export_splits(
-    table: DataFrame,
-    root: str,
-    keys: Sequence[str],
-    formats: Sequence[str] = ("csv", "json"),
-    concurrent_jobs: int = 8,
+    table: DataFrame, root: str, keys: Sequence[str], formats: Sequence[str] = ("csv", "json")
 ) -> list[str]:
-    """Write one folder ``<split>.<extension>`` per pair and split from the canonical table.
+    """Write one folder ``<split>.<extension>`` per pair and split of a labelled table; returns their paths.
 
-    Each export reads one leaf of the table through partition pruning; a few run at a time.
+    A format is one job, whatever the number of pairs: one partitioned write beside the target folders, whose finished
+    leaves are then moved into place. So a repeated run replaces exactly its leaves, and a job that fails leaves all
+    of them as they were. Moves are file system operations of the driver, one per leaf; :func:`commit_leaves` goes
+    on with them if the driver was lost meanwhile.
     """
-    leaves = table.select(*LAYOUT).distinct().collect()
-
-    def export(leaf, file_format: str) -> str:
-        chosen = table
-        for column in LAYOUT:
-            chosen = chosen.where(F.col(column) == F.lit(leaf[column]))
-        steps = [str(leaf[column]) for column in LAYOUT]
-        path = f"{root.rstrip('/')}/{'/'.join(steps)}.{EXTENSIONS[file_format]}"
-        writer = write_csv if file_format == "csv" else write_jsonl
-        writer(chosen.select(*keys), path)
-        return path
-
-    with ThreadPoolExecutor(concurrent_jobs) as pool:
-        jobs = [pool.submit(export, leaf, f) for leaf in leaves for f in formats]
-        return sorted(job.result() for job in jobs)
+    root = root.rstrip("/")
+    done = []
+    for file_format in formats:
+        staging = f"{root}/_writing-{uuid.uuid4().hex}"
+        (write_csv if file_format == "csv" else write_jsonl)(table.select(*LAYOUT, *keys), staging, LAYOUT)
+        done += commit_leaves(table.sparkSession, root, staging, EXTENSIONS[file_format])
+    return sorted(done)
+
+
+def written_leaves(spark: SparkSession, staging: str) -> list[tuple[str, ...]]:
+    """``(folder, *values of the layout)`` of every leaf of a partitioned write: the manifest of what it made."""
+    system, top = file_system(spark, staging)
+    leaves = [(top, ())]
+    for column in LAYOUT:
+        steps = [(status.getPath(), values) for folder, values in leaves for status in system.listStatus(folder)]
+        steps = [(path, values) for path, values in steps if path.getName().startswith(f"{column}=")]
+        leaves = [(path, (*values, unquote(path.getName().split("=", 1)[1]))) for path, values in steps]
+    return [(path.toString(), *values) for path, values in leaves]
+
+
+def commit_leaves(spark: SparkSession, root: str, staging: str, extension: str) -> list[str]:
+    """Move the leaves below ``staging`` to their places below ``root``, replacing what is there; then drop ``staging``.
+
+    A leaf that has been moved is no longer below ``staging``, so this can be repeated until it has gone through.
+    """
+    leaves = written_leaves(spark, staging)
+    if not leaves:
+        file_system(spark, staging)[0].delete(file_system(spark, staging)[1], True)
+        return []
+    listed = small_table(spark, {name: list(v) for name, v in zip(("folder", *LAYOUT), zip(*leaves))})
+    moves = listed.select("folder", split_path(root, extension).alias("path")).collect()
+
+    def move(row) -> str:
+        system, source = file_system(spark, row["folder"])
+        _, target = file_system(spark, row["path"])
+        system.mkdirs(target.getParent())
+        system.delete(target, True)
+        if not system.rename(source, target):
+            raise OSError(f"could not move {row['folder']} to {row['path']}")
+        return row["path"]
+
+    with ThreadPoolExecutor(8) as pool:
+        paths = list(pool.map(move, moves))
+    system, top = file_system(spark, staging)
+    system.delete(top, True)
+    return paths
+
+
+def written_rows(spark: SparkSession, paths: Sequence[str], schema: StructType) -> DataFrame:
+    """``(path, n_rows)`` of exported folders, counted by reading their files."""
+    parts = []
+    for extension in EXTENSIONS.values():
+        mine = [p for p in paths if p.endswith(f".{extension}")]
+        if mine:
+            read = read_csv if extension == "csv" else read_jsonl
+            rows = read(spark, mine, schema)
+            folder = F.regexp_replace(rows.metadataColumn("_metadata")["file_path"], "/[^/]*$", "")
+            parts.append(rows.select(folder.alias("path")).groupBy("path").agg(F.count("*").alias("n_rows")))
+    return reduce(DataFrame.unionByName, parts)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from glossaflow.operators.backends import TAG, MemoryBackend
 from glossaflow.operators.translate import WHOLE_TEXTS
 from glossaflow.plans.corpus import run_metrics, translate_corpus
-from glossaflow.sources.sinks import RunLabels
+from glossaflow.sources import sinks
+from glossaflow.sources.sinks import RunLabels, export_splits, written_rows
 
 LABELS = RunLabels("PIQA", "finish", "facebook/nllb-200-3.3B", date(2023, 4, 5))
 ROWS = [
@@ -69,6 +70,60 @@ def test_export_has_one_folder_per_pair_and_split(spark, data, tmp_path):
     assert set(rows[0].asDict()) == {"inputs", "targets"}
 
 
+def jobs_of(spark, action):
+    group = f"group-{action}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        result = action()
+        return result, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_export_is_one_job_per_format(spark, data, tmp_path):
+    done = run(data, f"{tmp_path}/out", target_codes_wanted=None)
+    exported, jobs = jobs_of(spark, lambda: export_splits(done.table, f"{tmp_path}/export", ["inputs", "targets"]))
+    assert len(exported) == (118 * 2 + 3) * 2 and jobs == 2
+    counted = written_rows(spark, exported, spark.createDataFrame([], "inputs string, targets string").schema)
+    rows = {tuple(r["path"].split("/")[-6:]): r["n_rows"] for r in counted.collect()}
+    assert len(rows) == len(exported) and sum(rows.values()) == 2 * done.table.count()
+
+
+def test_a_repeated_export_replaces_only_its_leaves(spark, data, tmp_path):
+    folder = f"{tmp_path}/export"
+    first = run(data, f"{tmp_path}/one", export_root=folder)
+    again = run(data.where("row_id = 1").withColumn("inputs", F.lit("New.")), f"{tmp_path}/two", target_codes_wanted=["fra_Latn"],
+                export_root=folder)
+    base = f"{folder}/PIQA/eng_Latn_to_%s/facebook-nllb-200-3.3B/finish/2023-04-05/%s.jsonl"
+    texts = lambda pair, split: sorted(r["inputs"] for r in spark.read.json(base % (pair, split)).collect())
+    assert texts("fra_Latn", "train") == ["<fra_Latn> New."]
+    assert texts("fra_Latn", "validation") == ["<fra_Latn> Four."]
+    assert texts("zul_Latn", "train") == ["<zul_Latn> One. <zul_Latn> Two.", "<zul_Latn> Three."]
+    assert set(again.exported) < set(first.exported)
+    assert sorted(p.name for p in Path(folder).iterdir()) == ["PIQA"]
+
+
+def test_an_interrupted_export_can_be_finished(spark, data, tmp_path, monkeypatch):
+    done = run(data, f"{tmp_path}/out")
+    monkeypatch.setattr(sinks, "commit_leaves", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
+    with pytest.raises(KeyboardInterrupt):
+        export_splits(done.table, f"{tmp_path}/export", ["inputs"], ["json"])
+    monkeypatch.undo()
+    (staging,) = Path(f"{tmp_path}/export").iterdir()
+    leaves = sinks.written_leaves(spark, str(staging))
+    assert len(leaves) == 7
+    paths = sinks.commit_leaves(spark, f"{tmp_path}/export", str(staging), "jsonl")
+    assert len(paths) == 7 and not staging.exists() and all(Path(p).is_dir() for p in paths)
+
+
+def test_names_that_need_escapes_in_paths(spark, tmp_path):
+    table = spark.createDataFrame([("a: c", "x_to_y", "m", "100% = all", "2024-01-01", "train", "text")],
+                                  "dataset string, pair string, checkpoint string, template string, run_date string, split string, text string")
+    (path,) = export_splits(table, f"{tmp_path}/export", ["text"], ["csv"])
+    assert path == f"{tmp_path}/export/a: c/x_to_y/m/100% = all/2024-01-01/train.csv"
+    assert [p.name for p in Path(path).iterdir() if p.name.startswith("part")]
+
+
 def test_lookup_backend_and_whole_texts(spark, data, tmp_path):
     memory = spark.createDataFrame(
         [("eng_Latn", "fra_Latn", "One. Two.", "Un. Deux.")], "source string, target string, text string, translation string"
