@@ -2,7 +2,14 @@ import pytest
 
 from glossaflow.operators.backends import TAG, MemoryBackend
 from glossaflow.operators.batching import FunctionBackend
-from glossaflow.streaming.requests import REQUEST_SCHEMA, read_answers, stream_requests, translate_requests
+from glossaflow.streaming.requests import (
+    REQUEST_SCHEMA,
+    PublishedMemory,
+    read_answers,
+    read_ledger,
+    stream_requests,
+    translate_requests,
+)
 
 REQUESTS = [
     (1, "eng_Latn", "fra_Latn", ["Hello", "Bye", "Hello"]),
@@ -84,3 +91,76 @@ def test_a_long_conversation_is_one_request_and_keeps_its_turns_apart(spark, tmp
     assert {r["request_id"]: len(r["texts"]) for r in requests(spark, str(tmp_path)).collect()} == {1: 150, 2: 150}
     pairs = {r["row_id"]: (r["inputs"], r["targets"]) for r in dialogue_pairs(spark, str(tmp_path)).collect()}
     assert len(pairs) == 150 and pairs["1:104"] == ("1 104", "1 105") and pairs["2:4"] == ("2 4", "2 5")
+
+
+@pytest.mark.parametrize("kind", ["tag", "memory", "function"])
+def test_requests_with_unknown_codes_fail_and_are_not_sent(spark, kind):
+    rows = [(1, "eng_Latn", "xxx_Nope", ["a", None]), (2, "yyy_Nope", None, ["b"]), (3, "eng_Latn", "fra_Latn", ["c"]),
+            (4, "zzz_Nope", "fra_Latn", []), (5, None, "fra_Latn", ["d"]), (6, "eng_Latn", "xxx_Nope", None)]
+
+    def load():
+        def call(source, target, texts):
+            assert target == "fra_Latn"
+            return texts
+
+        return call
+
+    memory = spark.createDataFrame([("eng_Latn", "fra_Latn", "c", "c")], "source string, target string, text string, translation string")
+    backend = {"tag": TAG, "memory": MemoryBackend(memory), "function": FunctionBackend(load, max_tries=1)}[kind]
+    got = {r["request_id"]: r for r in translate_requests(spark.createDataFrame(rows, REQUEST_SCHEMA), backend).collect()}
+    assert got[1]["statuses"] == ["failed", "failed"] and got[1]["translated_texts"] == [None, None]
+    assert got[1]["errors"][0] == "unknown flores language codes: xxx_Nope"
+    assert got[2]["errors"] == ["unknown flores language codes: yyy_Nope, null"]
+    assert got[3]["statuses"] == ["ok"] and got[4]["statuses"] == []
+    assert got[5]["statuses"][0] in ("ok", "miss") and got[6]["statuses"] is None
+    anything = translate_requests(spark.createDataFrame(rows[:1], REQUEST_SCHEMA), TAG, system=None).first()
+    assert anything["statuses"] == ["ok", "ok"]
+
+
+def answer_all(spark, backend, folder, checkpoint="cp"):
+    source = spark.readStream.schema(REQUEST_SCHEMA).json(f"{folder}/in")
+    stream_requests(source, backend, f"{folder}/out", f"{folder}/{checkpoint}", {"availableNow": True}).awaitTermination()
+
+
+def test_a_checkpoint_made_anew_at_the_same_path_keeps_earlier_answers(spark, tmp_path):
+    ask = lambda i: spark.createDataFrame([(i, "eng_Latn", "fra_Latn", [f"t{i}"])], REQUEST_SCHEMA)
+    ask(1).write.json(f"{tmp_path}/in")
+    answer_all(spark, TAG, tmp_path)
+    (tmp_path / "cp").rename(tmp_path / "gone")
+    ask(2).write.mode("overwrite").json(f"{tmp_path}/in")
+    answer_all(spark, TAG, tmp_path)
+    assert answers_of(read_answers(spark, f"{tmp_path}/out")) == {1: ["<fra_Latn> t1"], 2: ["<fra_Latn> t2"]}
+    ledger = read_ledger(spark, f"{tmp_path}/out").collect()
+    assert len({r["run"] for r in ledger}) == 2 and [(r["batch_id"], r["n_requests"]) for r in ledger] == [(0, 1)] * 2
+
+
+def test_unfinished_batches_are_not_read(spark, tmp_path):
+    spark.createDataFrame(REQUESTS[:2], REQUEST_SCHEMA).write.json(f"{tmp_path}/in")
+    answer_all(spark, TAG, tmp_path)
+    (run,) = [p for p in (tmp_path / "out").iterdir() if p.name.startswith("run=")]
+    spark.read.parquet(f"{run}/batch_id=0").write.parquet(f"{run}/batch_id=1")
+    assert read_answers(spark, f"{tmp_path}/out").count() == 2
+
+
+def test_a_memory_can_change_while_the_stream_runs(spark, tmp_path):
+    columns = "source string, target string, text string, translation string"
+    one = ("eng_Latn", "fra_Latn", "Hello", "Bonjour")
+    memory = PublishedMemory(f"{tmp_path}/memory")
+    ask = lambda i: spark.createDataFrame([(i, "eng_Latn", "fra_Latn", ["Hello", "Bye"])], REQUEST_SCHEMA)
+    assert memory.publish(MemoryBackend(spark.createDataFrame([one], columns))) == 1
+    ask(1).write.json(f"{tmp_path}/in")
+    answer_all(spark, memory, tmp_path)
+    assert memory.publish(MemoryBackend(spark.createDataFrame([one, ("eng_Latn", "fra_Latn", "Bye", "Salut")], columns))) == 2
+    # a version whose write was cut off is not used
+    (tmp_path / "memory" / "version=3").mkdir()
+    ask(2).write.mode("append").json(f"{tmp_path}/in")
+    answer_all(spark, memory, tmp_path)
+    want = {1: ["Bonjour", "Bye"], 2: ["Bonjour", "Salut"]}
+    assert answers_of(read_answers(spark, f"{tmp_path}/out")) == want
+    assert [(r["batch_id"], r["memory_version"]) for r in read_ledger(spark, f"{tmp_path}/out").orderBy("batch_id").collect()] == [(0, 1), (1, 2)]
+    # a batch that is run again, as after a failure, uses the version it began with
+    for name in ("1", ".1.crc"):
+        (tmp_path / "cp" / "commits" / name).unlink()
+    memory.publish(MemoryBackend(spark.createDataFrame([("eng_Latn", "fra_Latn", "Bye", "Adieu")], columns)))
+    answer_all(spark, memory, tmp_path)
+    assert answers_of(read_answers(spark, f"{tmp_path}/out")) == want
