@@ -42,14 +42,14 @@ LABELS = sinks.RunLabels("documents", "plain", "facebook/nllb-200-3.3B", date(20
 # A sentence above this length cannot be served by the backend of `poisoned_calls`.
 LONGEST_SENTENCE = 400
 
-# ISO-639 rows the audit query checks against: one as published, two altered, the rest left out.
+# ISO-639 rows the audit query checks against: a match by each part, one altered row, a name given twice, the rest left out.
 ISO_SAMPLE = {
-    "name": ["English", "German", "French"],
-    "part1": ["en", "de", "xx"],
-    "part2b": ["eng", "ger", "xxx"],
-    "part2t": ["eng", "deu", "xxx"],
-    "part3": ["eng", "deu", "xxx"],
-    "part5": [None, None, None],
+    "name": ["English", "German", "French", "Cebuano", "Filipino", "Hawaiian", "Hmong", "Spanish", "Spanish"],
+    "part1": ["en", "de", "xx", None, None, None, None, "xx", "es"],
+    "part2b": ["eng", "ger", "xxx", None, "fil", None, None, "spa", None],
+    "part2t": ["eng", "deu", "xxx", None, None, "haw", None, "spa", None],
+    "part3": ["eng", "deu", "xxx", "ceb", None, None, None, "spa", None],
+    "part5": [None, None, None, None, None, None, "hmn", None, None],
 }
 
 
@@ -90,6 +90,18 @@ def split_preview(spark, sf_dir):
     return splits.split_preview(documents(spark, sf_dir))
 
 
+def translated_preview(spark, sf_dir):
+    """The first document of each split in every target language."""
+    shown = corpus.translated_preview(documents(spark, sf_dir), ["text"], TARGETS, TAG)
+    return shown.select("split", "row_id", "source", "target", "text", "status")
+
+
+def named_table(spark, sf_dir):
+    """A catalog table that carries its splits in a column of another name."""
+    documents(spark, sf_dir).withColumnRenamed("split", "part").createOrReplaceTempView("named_documents")
+    return splits.split_counts(splits.read_named(spark, "named_documents", "part"))
+
+
 def csv_roundtrip(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     path = f"{scratch_folder(spark)}/documents.csv"
@@ -177,6 +189,12 @@ def mt5_mapping(spark, sf_dir):
     return _counted(flat, spark, sf_dir)
 
 
+def mapping_json(spark, sf_dir):
+    """The mapping of the languages the documents are in, as one JSON object."""
+    mapping = registry.mt5_mapping(spark).join(language_counts(spark, sf_dir), "code", "left_semi")
+    return registry.mapping_json(mapping)
+
+
 def mt5_unmapped(spark, sf_dir):
     return _counted(registry.mt5_unmapped(spark).select("code", "name"), spark, sf_dir)
 
@@ -393,6 +411,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "keep_translate_columns": keep_translate_columns,
     "split_counts": split_counts,
     "split_preview": split_preview,
+    "translated_preview": translated_preview,
+    "named_table": named_table,
     "csv_roundtrip": csv_roundtrip,
     "jsonl_roundtrip": jsonl_roundtrip,
     "output_layout": output_layout,
@@ -403,6 +423,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "registry_checks": registry_checks,
     "mt5_mapping": mt5_mapping,
     "mt5_unmapped": mt5_unmapped,
+    "mapping_json": mapping_json,
     "iso_audit": iso_audit,
     "sentence_split": sentence_split,
     "sentence_merge": sentence_merge,

@@ -11,19 +11,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from glossaflow.operators.translate import SENTENCES, Backend, Cutting, translate, with_known_source
-from glossaflow.registry.languages import code_of, system_of, target_codes
+from glossaflow.registry.languages import FLORES, code_of, codes_of, resolve_sources, system_of, target_codes
 from glossaflow.sources.sinks import RunLabels, export_splits, label, write_canonical
-from glossaflow.sources.splits import keep_translate_columns, select_splits
+from glossaflow.sources.splits import keep_translate_columns, select_splits, split_preview
 
 
 @dataclass(frozen=True)
 class CorpusRun:
-    """Where a run wrote its table, and what it counted while writing."""
+    """Where a run wrote its table, and what it counted while writing.
+
+    ``split_seconds`` are the times from a split's first translated row to its last one, by the clocks of the tasks.
+    All splits are written by one job, so these times overlap; none exceeds ``seconds``.
+    """
 
     table: DataFrame
     path: str
     seconds: float
     totals: dict[str, int]
+    split_seconds: dict[str, float]
     exported: list[str] = field(default_factory=list)
 
     def record(self) -> DataFrame:
@@ -71,7 +76,9 @@ def translate_corpus(
     output: str,
     *,
     source_language: str | None = None,
+    source_name_column: str | None = None,
     target_codes_wanted: Sequence[str] | None = None,
+    target_names_wanted: Sequence[str] | None = None,
     exclude_languages: Iterable[str] = ("English",),
     splits: Sequence[str] | None = None,
     cutting: Cutting = SENTENCES,
@@ -82,23 +89,36 @@ def translate_corpus(
     """Translate ``data`` into every wanted language and write one partitioned table.
 
     ``data`` holds ``row_id``, ``split`` and the string columns ``keys``; ``source_language`` names its
-    language unless a ``source`` column gives a code per row. All languages and splits run in one job.
-    Codes and names are checked before the first job starts.
+    language unless a ``source`` column gives a code, or ``source_name_column`` a name, per row. Targets are given by
+    code, by name, or are the default ones. All languages and splits run in one job. Codes and names are checked before
+    the first job starts, names in a column by a job of their own.
     """
     started = time.monotonic()
     spark = data.sparkSession
     system = system_of(labels.checkpoint)
     if source_language is not None:
         data = data.withColumn("source", F.lit(code_of(source_language, system)))
+    elif source_name_column is not None:
+        data = resolve_sources(data, source_name_column, system)
     elif "source" not in data.columns:
         raise ValueError("name the source language or give a source column")
+    if target_names_wanted is not None:
+        target_codes_wanted = [*(target_codes_wanted or ()), *codes_of(target_names_wanted, system)]
     targets = target_codes(system, target_codes_wanted, exclude_languages)
     narrow = keep_translate_columns(data, keys)
     rows = corpus_rows(
         narrow, keys, targets, backend, splits, cutting, rebalance=["split"], store=store
     )
-    counts = Observation("corpus")
-    observed = rows.observe(
+    counts, clocks = Observation("corpus"), Observation("clocks")
+    names = [r["split"] for r in narrow.select("split").distinct().collect()]
+    clock = F.java_method(F.lit("java.lang.System"), F.lit("currentTimeMillis")).cast("long")
+    spans = [
+        (F.max(F.when(here, F.col("__at"))) - F.min(F.when(here, F.col("__at")))).alias(f"span{i}")
+        for i, here in enumerate(F.col("split").eqNullSafe(F.lit(name)) for name in names)
+    ]
+    timed = rows.withColumn("__at", clock)
+    timed = (timed.observe(clocks, *spans) if spans else timed).drop("__at")
+    observed = timed.observe(
         counts,
         F.count("*").alias("n_rows"),
         F.sum("n_units").alias("n_units"),
@@ -109,7 +129,26 @@ def translate_corpus(
     write_canonical(labelled, output)
     table = read_run(spark, output, labels, labelled.schema)
     exported = export_splits(table, export_root, keys, export_formats) if export_root else []
-    return CorpusRun(table, output, time.monotonic() - started, counts.get, exported)
+    took = clocks.get if spans else {}
+    seconds = {name: (took[f"span{i}"] or 0) / 1000 for i, name in enumerate(names)}
+    return CorpusRun(table, output, time.monotonic() - started, counts.get, seconds, exported)
+
+
+def translated_preview(
+    data: DataFrame, keys: Sequence[str], targets: Sequence[str], backend: Backend, cutting: Cutting = SENTENCES
+) -> DataFrame:
+    """The first row of each split, translated. The rows are picked first; no other row reaches the backend."""
+    return translate(split_preview(data), keys, targets, backend, cutting)
+
+
+def translate_text(
+    spark: SparkSession, text: str, source_language: str, target_language: str, backend: Backend,
+    system: str = FLORES, cutting: Cutting = SENTENCES,
+) -> str | None:
+    """One text from one named language into another."""
+    source, target = codes_of([source_language, target_language], system)
+    one = spark.createDataFrame([(0, source, text)], "row_id long, source string, text string")
+    return translate(one, ["text"], [target], backend, cutting).first()["text"]
 
 
 def read_run(spark: SparkSession, output: str, labels: RunLabels, schema: StructType) -> DataFrame:

@@ -250,6 +250,29 @@ def code_of(name: str, system: str = FLORES) -> str:
     return table[name]
 
 
+def codes_of(names: Iterable[str], system: str = FLORES) -> list[str]:
+    """Codes of language names, in order; all unknown names are reported together."""
+    table = {n: c for c, n in (FLORES_LANGUAGES if system == FLORES else CLOUD_LANGUAGES)}
+    names = list(names)
+    unknown = [name for name in names if name not in table]
+    if unknown:
+        raise ValueError(f"unknown {system} language names: {', '.join(unknown)}")
+    return [table[name] for name in names]
+
+
+def resolve_sources(df: DataFrame, name_column: str, system: str = FLORES, shown: int = 20) -> DataFrame:
+    """``df`` with the code of the language named in ``name_column`` as ``source``; null stays null.
+
+    Names the registry does not hold are found before anything else runs, and raise ``ValueError``.
+    """
+    canonical = canonical_languages(df.sparkSession, system)
+    named = df.where(F.col(name_column).isNotNull())
+    unknown = [r[0] for r in unknown_names(named, name_column, canonical).orderBy(name_column).limit(shown).collect()]
+    if unknown:
+        raise ValueError(f"unknown {system} language names: {', '.join(unknown)}")
+    return names_to_codes(df, name_column, canonical, "source")
+
+
 def registry_checks(registry: DataFrame) -> DataFrame:
     """Rows, distinct codes and distinct names of each registry."""
     return registry.groupBy("system").agg(

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from glossaflow.operators.backends import TAG, MemoryBackend
 from glossaflow.operators.translate import WHOLE_TEXTS
-from glossaflow.plans.corpus import run_metrics, translate_corpus
+from glossaflow.operators.batching import FunctionBackend
+from glossaflow.plans.corpus import run_metrics, translate_corpus, translate_text, translated_preview
 from glossaflow.sources import sinks
 from glossaflow.sources.sinks import RunLabels, export_splits, written_rows
 
@@ -156,3 +157,56 @@ def test_unknown_languages_are_refused_first(data, tmp_path):
 def test_all_default_targets_in_one_job(data, tmp_path):
     done = run(data, f"{tmp_path}/out", target_codes_wanted=None, splits=["validation"])
     assert done.table.where("split = 'validation'").select("pair").distinct().count() == 119
+
+
+def test_names_of_languages(spark, data, tmp_path):
+    named = data.withColumn("language", F.when(F.col("row_id") == 1, "French").when(F.col("row_id") == 2, "German"))
+    done = run(named, f"{tmp_path}/out", source_language=None, source_name_column="language", target_codes_wanted=None,
+               target_names_wanted=["Zulu", "French"])
+    pairs = {(r["row_id"], r["pair"]) for r in done.table.collect()}
+    assert {p for i, p in pairs if i == 1} == {"fra_Latn_to_zul_Latn", "fra_Latn_to_fra_Latn"}
+    assert {p for i, p in pairs if i == 3} == {"und_to_zul_Latn", "und_to_fra_Latn", "und_to_und"}
+    with pytest.raises(ValueError, match="Elvish, Klingon"):
+        wrong = named.withColumn("language", F.when(F.col("row_id") == 1, "Klingon").when(F.col("row_id") == 2, "Elvish").otherwise("French"))
+        run(wrong, f"{tmp_path}/none", source_language=None, source_name_column="language")
+    with pytest.raises(ValueError, match="Klingon"):
+        run(data, f"{tmp_path}/none", target_names_wanted=["Zulu", "Klingon"])
+    assert not Path(f"{tmp_path}/none").exists()
+
+
+def test_one_text_by_names(spark):
+    assert translate_text(spark, "Hello there. Bye.", "English", "Zulu", TAG) == "<zul_Latn> Hello there. <zul_Latn> Bye."
+    with pytest.raises(ValueError, match="Nowhere"):
+        translate_text(spark, "x", "English", "Nowhere", TAG)
+
+
+def test_time_per_split(data, tmp_path):
+    def load():
+        def call(source, target, texts):
+            return texts
+
+        return call
+
+    for backend in (TAG, FunctionBackend(load)):
+        done = run(data, f"{tmp_path}/{backend.name}", backend=backend)
+        assert set(done.split_seconds) == {"train", "validation", "test"}
+        assert all(0 <= s <= done.seconds for s in done.split_seconds.values())
+        assert done.totals["n_rows"] == done.table.count()
+
+
+def test_preview_translates_one_row_per_split(spark, data, tmp_path):
+    log = str(tmp_path / "sent")
+
+    def load():
+        def call(source, target, texts):
+            with open(log, "a") as file:
+                file.writelines(f"{text}\n" for text in texts)
+            return [f"{target}: {text}" for text in texts]
+
+        return call
+
+    rows = data.withColumn("source", F.lit("eng_Latn"))
+    shown = translated_preview(rows, ["inputs"], ["zul_Latn"], FunctionBackend(load)).collect()
+    assert {(r["split"], r["row_id"], r["inputs"]) for r in shown} == {
+        ("train", 1, "zul_Latn: One. zul_Latn: Two."), ("validation", 3, "zul_Latn: Four."), ("test", 4, "zul_Latn: Five.")}
+    assert sorted(open(log).read().split()) == ["Five.", "Four.", "One.", "Two."]
