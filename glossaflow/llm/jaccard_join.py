@@ -29,6 +29,7 @@ empty table.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -39,6 +40,7 @@ from pyspark.sql import functions as F
 
 from glossaflow.llm.common import map_batches, quoted, small, worker_state
 from glossaflow.llm.components import as_edges, star_forest
+from glossaflow.registry.languages import small_table
 from glossaflow.scratch import scratch_folder, stage
 
 HEAVY_LIMIT = 500_000
@@ -52,6 +54,8 @@ BITMAP = 16
 HUBS = 4
 # Shared buckets of a set, the first ones in the global order, that tell in which bucket a pair is taken.
 FIRST_KEYS = 16
+# Rows of a file are numbered below two to this power.
+FILE_ROWS_BITS = 40
 _BUFFER = 2_000_000
 _REMEMBERED = 600_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -179,7 +183,8 @@ def choose_front(counts: DataFrame) -> int:
 
 
 def _fronts(rows: DataFrame, words: int, num: int, den: int, heavy, small_front: int) -> DataFrame:
-    """``(id, n, node, keys)`` per text: its set's size and name, and the buckets it enters in the global order."""
+    """``(id, n, node, keys, bits0, ...)`` per text: its set's size and name, the buckets it enters in the global
+    order, and its bitmap."""
     shared, key = rows.sparkSession.sparkContext.broadcast(heavy), uuid.uuid4().hex
     limit = boundary_size(small_front, num, den) if small_front else 0
 
@@ -204,19 +209,21 @@ def _fronts(rows: DataFrame, words: int, num: int, den: int, heavy, small_front:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         known = worker_state("jaccard", words, _Words)
         table, classes = worker_state("jaccard-heavy", key, lambda: shared.value)
-        sizes, names, keys = [], [], []
+        sizes, names, keys, bitmaps = [], [], [], []
         for text in batch.column("text").to_pylist():
             values = shingles(text, words, known)
             sizes.append(len(values))
             names.append(_name(values))
             keys.append(one(values, table, classes) if len(values) > 1 else [])
+            bitmaps.append(_bitmap(values))
         return pa.RecordBatch.from_arrays(
             [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()),
-             pa.array(keys, pa.list_(pa.int64()))],
-            ["id", "n", "node", "keys"],
+             pa.array(keys, pa.list_(pa.int64())), *map(pa.array, np.array(bitmaps).reshape(-1, BITMAP).T)],
+            ["id", "n", "node", "keys", *_bitmap_columns("")],
         )
 
-    return map_batches(rows, run, "id long, n long, node long, keys array<long>")
+    columns = ", ".join(f"{c} long" for c in _bitmap_columns(""))
+    return map_batches(rows, run, f"id long, n long, node long, keys array<long>, {columns}")
 
 
 def _bitmap(values: np.ndarray) -> np.ndarray:
@@ -231,20 +238,56 @@ def _bitmap_columns(suffix: str) -> list[str]:
 
 
 def _sets(rows: DataFrame, words: int) -> DataFrame:
-    """``(node, n, shingles, bits0, ...)`` of texts, by the name of their set."""
+    """``(node, shingles)`` of texts, by the name of their set."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         known = worker_state("jaccard", words, _Words)
         made = [shingles(text, words, known) for text in batch.column("text").to_pylist()]
-        bitmaps = np.array([_bitmap(m) for m in made]).reshape(-1, BITMAP)
         return pa.RecordBatch.from_arrays(
-            [pa.array(map(_name, made), pa.int64()), pa.array(map(len, made), pa.int64()),
-             pa.array([m.view(np.int64) for m in made], pa.list_(pa.int64())), *map(pa.array, bitmaps.T)],
-            ["node", "n", "shingles", *_bitmap_columns("")],
+            [pa.array(map(_name, made), pa.int64()), pa.array([m.view(np.int64) for m in made], pa.list_(pa.int64()))],
+            ["node", "shingles"],
         )
 
-    columns = ", ".join(f"{c} long" for c in _bitmap_columns(""))
-    return map_batches(rows.select("text"), run, f"node long, n long, shingles array<long>, {columns}")
+    return map_batches(rows.select("text"), run, "node long, shingles array<long>")
+
+
+class _Verifier:
+    """Checks pairs of sets on their shingles. Only sets that come up in a pair are ever read, each once."""
+
+    def __init__(self, rows: DataFrame, named: DataFrame, words: int, num: int, den: int, folder: str):
+        self.rows, self.named, self.words, self.num, self.den, self.folder = rows, named, words, num, den, folder
+        self.sets: list[DataFrame] = []
+
+    def links(self, pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs ``(a, b)`` that link, as written edges."""
+        pairs = stage(pairs, f"pairs_{name}", self.folder)
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+        nodes = stage(nodes, f"nodes_{name}", self.folder)
+        few = small(nodes, 16)
+        self._read(nodes, name)
+        mine = reduce(DataFrame.union, self.sets).join(F.broadcast(nodes) if few else nodes, "node", "left_semi")
+        first = mine.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
+        second = mine.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
+        shared = F.size(F.array_intersect("of_a", "of_b"))
+        both = pairs.join(first, "a").join(second, "b").select(
+            "a", "b", shared.alias("shared"), (F.size("of_a") + F.size("of_b")).alias("sum"))
+        linked = both.where(F.col("shared") * self.den >= (F.col("sum") - F.col("shared")) * self.num)
+        return stage(as_edges(linked.select("a", "b")), f"links_{name}", self.folder)
+
+    def _read(self, nodes: DataFrame, name: str) -> None:
+        for earlier in self.sets:
+            nodes = nodes.join(earlier.select("node"), "node", "left_anti")
+        wanted = stage(nodes.join(self.named, "node"), f"wanted_{name}", self.folder)
+        few = small(wanted, 24)
+        ids, names = wanted.select(F.col("chosen").alias("id")), wanted.select("node")
+        if few:
+            ids, names = F.broadcast(ids), F.broadcast(names)
+        same_id = F.col("rows.id").eqNullSafe(F.col("ids.id"))
+        texts = self.rows.alias("rows").join(ids.alias("ids"), same_id, "left_semi")
+        sets = stage(_sets(texts, self.words).join(names, "node", "left_semi"), f"sets_{name}", self.folder)
+        if not wanted.where("copies > 1").isEmpty():  # rows that are repeated with their id
+            sets = stage(sets.dropDuplicates(["node"]), f"distinct_{name}", self.folder)
+        self.sets.append(sets)
 
 
 def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, id_column: str = "doc_id",
@@ -267,58 +310,47 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10
     small_front = choose_front(counts)
     fronts = keep(_fronts(rows, words, num, den, _heavy(counts), small_front), "fronts")
     members = fronts.select("id", "n", "node")
-    named = members.where("n > 0").groupBy("node").agg(F.min("id").alias("first"))
+    # The smallest id of each set, and a row to read it from: if it can be, one that has an id.
+    alike = members.where("n > 0").groupBy("node", "id").agg(F.count("*").alias("copies"))
+    row = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "copies")).alias("row")
+    named = alike.groupBy("node").agg(row).select(
+        "node", F.col("row.id").alias("chosen"), F.col("row.copies").alias("copies"))
+    named = keep(named, "named")
 
     # Copies of a set become one before its buckets are written out; buckets with one set hold no link.
-    by_key = Window.partitionBy("key")
-    entries = (
+    placed = (
         fronts.where("size(keys) > 0").select("node", "n", "keys").dropDuplicates(["node"])
-        .select("node", "n", F.posexplode("keys").alias("place", "key"))
-        .withColumn("low", F.min("node").over(by_key)).withColumn("high", F.max("node").over(by_key))
-        .where("low != high").select("key", "node", "n", "place")
+        .select("node", "n", F.posexplode("keys").alias("place", "key")).select("key", "node", "n", "place")
     )
-    entries = keep(entries, "entries")
-    nodes = keep(entries.select("node").distinct().join(named, "node"), "nodes")
-    few = small(nodes, 16)
-    chosen = nodes.select(F.col("first").alias("id"))
-    chosen = F.broadcast(chosen) if few else chosen
-    wanted = F.broadcast(nodes.select("node")) if few else nodes.select("node")
-    same_id = F.col("rows.id").eqNullSafe(F.col("chosen.id"))
-    texts = rows.alias("rows").join(chosen.alias("chosen"), same_id, "left_semi")
-    sets = _sets(texts, words).join(wanted, "node", "left_semi").dropDuplicates(["node"])
-    sets = keep(sets, "sets")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        first = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
-        second = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
-        shared = F.size(F.array_intersect("of_a", "of_b"))
-        both = pairs.join(first, "a").join(second, "b").select("a", "b", shared.alias("shared"),
-                                                               (F.size("of_a") + F.size("of_b")).alias("sum"))
-        return both.where(F.col("shared") * den >= (F.col("sum") - F.col("shared")) * num).select("a", "b")
+    entries = keep(_shared(placed, "node", folder, "buckets"), "entries")
+    nodes = keep(entries.select("node").distinct(), "nodes")
+    marks = fronts.select("node", "n", *_bitmap_columns("")).join(
+        F.broadcast(nodes) if small(nodes, 16) else nodes, "node", "left_semi").dropDuplicates(["node"])
+    marks = keep(marks, "marks")
+    check = _Verifier(rows, named, words, num, den, folder)
 
     # Every set that is not the smallest of its component, and that smallest one.
     forest = None
     enough = LEAST_PROGRESS * nodes.count()
     for turn in range(ROUNDS):
-        pairs = _with_hubs(_labelled(entries, forest), sets, turn, num, den)
-        found = keep(as_edges(verified(pairs)), f"links{turn}")
+        labelled = _labelled(entries, forest, folder, f"labels{turn}")
+        found = check.links(_with_hubs(labelled, marks, turn, num, den, folder), f"hubs{turn}")
         new = found.count()
         if new or forest is None:
             forest = star_forest(found if forest is None else forest.union(found))
         if new <= enough:
             break
     limit = boundary_size(small_front, num, den) if small_front else 0
-    left = keep(_labelled(entries, forest), "left")
-    rest = keep(_between(left, sets.select("node", *_bitmap_columns("")), num, den, limit), "candidates")
-    found = keep(as_edges(verified(rest)), "rest")
+    left = keep(_labelled(entries, forest, folder, "labels"), "left")
+    found = check.links(_between(left, marks.drop("n"), num, den, limit), "rest")
     if found.count():
         forest = star_forest(forest.union(found))
     labels = _components(forest)
 
     # The smallest id of each class, then of each set, then beside each row.
     classed = named.join(labels, "node", "left").withColumn("class", F.coalesce("component", "node"))
-    smallest = classed.groupBy("class").agg(F.min("first").alias("component_id"))
-    of_set = classed.join(smallest, "class").select("node", "component_id")
+    smallest = keep(classed.groupBy("class").agg(F.min("chosen").alias("component_id")), "classes")
+    of_set = keep(classed.join(smallest, "class").select("node", "component_id"), "of_set")
     joined = members.join(of_set, "node", "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return joined.select(
@@ -330,16 +362,19 @@ def _components(forest: DataFrame) -> DataFrame:
     return forest.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
-def _labelled(entries: DataFrame, forest: DataFrame | None) -> DataFrame:
+def _shared(entries: DataFrame, of: str, folder: str, name: str) -> DataFrame:
+    """``entries`` of the buckets that hold more than one ``of``. Buckets are counted before any of their rows meet,
+    and joined with a written table, so that a bucket with very many rows can be split."""
+    ends = entries.groupBy("key").agg(F.min(of).alias("low"), F.max(of).alias("high"))
+    return entries.join(stage(ends.where("low != high").select("key"), name, folder), "key", "left_semi")
+
+
+def _labelled(entries: DataFrame, forest: DataFrame | None, folder: str, name: str) -> DataFrame:
     """Bucket entries with the component of their set, without buckets that lie in one component."""
     if forest is None:
         return entries.withColumn("component", F.col("node"))
-    by_key = Window.partitionBy("key")
-    return (
-        entries.join(_components(forest), "node", "left").withColumn("component", F.coalesce("component", "node"))
-        .withColumn("low", F.min("component").over(by_key)).withColumn("high", F.max("component").over(by_key))
-        .where("low != high").drop("low", "high")
-    )
+    labelled = entries.join(_components(forest), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return _shared(labelled, "component", folder, name)
 
 
 def _close(a: str, b: str, num: int, den: int):
@@ -362,12 +397,12 @@ def _suffixed(df: DataFrame, suffix: str) -> DataFrame:
     return df.select(*(F.col(c).alias(c + suffix) for c in df.columns))
 
 
-def _with_hubs(entries: DataFrame, sets: DataFrame, turn: int, num: int, den: int) -> DataFrame:
+def _with_hubs(entries: DataFrame, marks: DataFrame, turn: int, num: int, den: int, folder: str) -> DataFrame:
     """At most one pair ``(a, b)`` per set: with the likest of the hubs that it shares most buckets with."""
     dice = F.xxhash64("node", "key", F.lit(turn))
-    hub = F.min(F.struct(dice.alias("dice"), "node", "n", "component")).over(Window.partitionBy("key"))
+    hubs = entries.groupBy("key").agg(F.min(F.struct(dice.alias("dice"), "node", "n", "component")).alias("hub"))
     offers = (
-        entries.withColumn("hub", hub)
+        entries.join(stage(hubs, f"offers{turn}", folder), "key")
         .select("node", "n", "component", F.col("hub.node").alias("hub"), F.col("hub.n").alias("m"),
                 F.col("hub.component").alias("other"))
         .where((F.col("component") != F.col("other")) & _close("n", "m", num, den))
@@ -375,7 +410,6 @@ def _with_hubs(entries: DataFrame, sets: DataFrame, turn: int, num: int, den: in
     weighed = offers.groupBy("node", "hub").agg(F.count("*").alias("shared"))
     order = Window.partitionBy("node").orderBy(F.desc("shared"), "hub")
     few = weighed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= HUBS)
-    marks = sets.select("node", "n", *_bitmap_columns(""))
     both = few.select(F.col("node").alias("node_a"), F.col("hub").alias("node_b")).join(
         _suffixed(marks, "_a"), "node_a").join(_suffixed(marks, "_b"), "node_b")
     possible, most, _ = _may_link(num, den)
@@ -411,10 +445,29 @@ def _between(entries: DataFrame, marks: DataFrame, num: int, den: int, limit: in
 
 
 def one_per_class(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, id_column: str = "doc_id",
-                  text: str = "text") -> DataFrame:
-    """``docs`` with one document of each class: the one of the smallest id. All texts without words stay."""
-    kept = jaccard_classes(docs, words, num, den, id_column, text).where(
-        "n_shingles = 0 or doc_id <=> component_id"
-    ).select(F.col("doc_id").alias("__id")).distinct()
-    same = quoted(id_column).cast("long").eqNullSafe(F.col("__id"))
-    return docs.join(kept.hint("shuffle_hash"), same, "left_semi")
+                  text: str = "text", scan: bool = False) -> DataFrame:
+    """``docs`` with exactly one row of each class, the one of the smallest id; a null id is larger than all others,
+    and of several rows with one id the first read stays. Every row without words stays.
+
+    ``scan`` says that ``docs`` is a table read from files, at most with columns chosen: its rows are then known by
+    file and place. Any other frame is written to the shared folder first.
+    """
+    spark = docs.sparkSession
+    docs = docs if scan else stage(docs, "docs")
+    place = docs.metadataColumn("_metadata")
+    # Files are numbered, so that a row has a number: one entry per file is sent to the tasks.
+    files = sorted(r[0] for r in docs.select(place["file_path"].alias("f")).distinct().collect())
+    numbered = F.broadcast(small_table(spark, {"__file": files, "__number": list(range(len(files)))})) if files else None
+    if numbered is None:
+        return docs
+    key = F.shiftleft(F.col("__number"), FILE_ROWS_BITS) + F.col("__row")
+    rows = docs.select("*", place["file_path"].alias("__file"), place["row_index"].alias("__row")).join(numbered, "__file")
+    rows = rows.withColumn("__key", key).drop("__file", "__number", "__row")
+
+    classes = jaccard_classes(rows, words, num, den, "__key", text).select(
+        F.col("doc_id").alias("__key"), F.col("component_id").alias("__class"), F.col("n_shingles").alias("__n"))
+    ids = rows.select("__key", quoted(id_column).alias("__id"))
+    least = F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__key"))
+    chosen = classes.where("__n > 0").join(ids, "__key").groupBy("__class").agg(least.alias("least"))
+    kept = chosen.select("least.__key").union(classes.where("__n = 0").select("__key"))
+    return rows.join(kept.hint("shuffle_hash"), "__key", "left_semi").drop("__key")

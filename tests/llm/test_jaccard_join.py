@@ -81,7 +81,24 @@ def test_empty_table_repeated_rows_and_columns_of_any_name(spark):
             (4, None, 1, "", 3)]
     kept = jaccard_join.one_per_class(spark.createDataFrame(rows, schema))
     assert sorted(kept.columns) == sorted(["doc_id", "text", "node", "front", "n"])
-    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 1, 3, 4]
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4]
+
+
+def test_exactly_one_row_of_each_class_stays(spark, tmp_path):
+    """Null ids, rows repeated with their id, one id with two texts, and rows without words."""
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, "a b c d e f"), (None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, near), (2, near + " x"),
+            (2, "other words here now then so"), (None, "only one without an id"), (None, "only one without an id"),
+            (5, ""), (5, ""), (None, None), (7, near)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.repartition(4).write.parquet(str(tmp_path / "docs"))
+    want = sorted([(1, "a b c d e f"), (2, "other words here now then so"), (None, "only one without an id"), (5, ""), (5, ""),
+                   (None, None)], key=repr)
+    for kept in (jaccard_join.one_per_class(docs),
+                 jaccard_join.one_per_class(spark.read.parquet(str(tmp_path / "docs")), scan=True)):
+        found = [tuple(r) for r in kept.collect()]
+        (close,) = [r for r in found if r[1] and r[1].startswith("w0")]
+        assert close[0] == 2 and sorted((r for r in found if r != close), key=repr) == want
 
 
 def test_components_of_chains_and_circles(spark):
