@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import pickle
 import sys
 import types
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -31,12 +36,41 @@ def worker_state(kind: str, key: object, build: Callable[[], object]) -> object:
     """What ``build`` returned for ``key`` in this Python process; of each kind the last one is held.
 
     Functions travel by value, so the globals of this package are new in every task; the state hangs on a
-    module of the process instead. It only saves time: a new worker builds it again.
+    module of the process instead. It only saves time: a new worker builds it again. A process serves one operator
+    at a time (the kind up to its first hyphen): the states of the one before are given back first, so what a worker
+    holds does not add up over the steps of a job.
     """
-    holder = sys.modules.setdefault("_worker_state", types.ModuleType("_worker_state")).__dict__
-    if kind not in holder or holder[kind][0] != key:
-        holder[kind] = key, build()
-    return holder[kind][1]
+    module = sys.modules.setdefault("_worker_state", types.ModuleType("_worker_state"))
+    operator = kind.split("-")[0]
+    if getattr(module, "operator", None) != operator:
+        module.operator, module.held = operator, {}
+        give_back_memory()
+    if kind not in module.held or module.held[kind][0] != key:
+        module.held.pop(kind, None)
+        module.held[kind] = key, build()
+    return module.held[kind][1]
+
+
+def give_back_memory() -> None:
+    """Return what was freed in this process to the machine, as far as its C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+class Sent:
+    """An object sent to every executor once, by value: its class need not be installed there."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        # named here only: what tasks get of this class must not draw in the whole package
+        import glossaflow
+
+        cloudpickle.register_pickle_by_value(glossaflow)
+        self._content = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def open(self) -> object:
+        return pickle.loads(self._content.value)
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossaflow.llm.common import map_batches, quoted, worker_state
+from glossaflow.llm.common import Sent, map_batches, quoted, worker_state
 
 # Fixed masks: 1 is compared, 0 is ignored. All triples within five tokens; shares below 3/5 may be missed.
 MASKS = ("111", "1101", "1011", "11001", "10101", "10011")
@@ -279,10 +279,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     rows = docs.select(quoted(id_column).cast("long").alias("doc_id"), quoted(text).alias("text"))
     result = None
     for block in blocks(benchmark):
-        shared, key = spark.sparkContext.broadcast(block), uuid.uuid4().hex
+        sent, key = Sent(spark, block), uuid.uuid4().hex
 
-        def run(batch: pa.RecordBatch, shared=shared, key=key) -> pa.RecordBatch | None:
-            block = worker_state("decontamination", key, lambda: shared.value)
+        def run(batch: pa.RecordBatch, sent=sent, key=key) -> pa.RecordBatch | None:
+            block = worker_state("decontamination", key, sent.open)
             ids = batch.column("doc_id").to_pylist()
             made = [
                 (ids[t], block.item_ids[i], begin, len(block.items[i]), equal, equal / len(block.items[i]))
@@ -307,10 +307,10 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
     spark = docs.sparkSession
     result = docs
     for block in blocks(benchmark):
-        shared, key = spark.sparkContext.broadcast(block), uuid.uuid4().hex
+        sent, key = Sent(spark, block), uuid.uuid4().hex
 
-        def run(batch: pa.RecordBatch, shared=shared, key=key) -> pa.RecordBatch:
-            block = worker_state("decontamination", key, lambda: shared.value)
+        def run(batch: pa.RecordBatch, sent=sent, key=key) -> pa.RecordBatch:
+            block = worker_state("decontamination", key, sent.open)
             leaking = {t for t, *_ in block.find(batch.column(text).to_pylist(), least)}
             return batch.filter(pa.array([t not in leaking for t in range(batch.num_rows)], pa.bool_()))
 

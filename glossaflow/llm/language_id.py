@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from glossaflow.llm.common import map_batches, quoted, without, worker_state
+from glossaflow.llm.common import Sent, map_batches, quoted, without, worker_state
 
 UNKNOWN = "und"
 ORDER = 5
@@ -295,10 +295,11 @@ def fit(docs: DataFrame, allowed, label: str = "lang", text: str = "text", id_co
     models = Models.train(dict(zip(zip(rows["label"], rows["word"]), rows["n"])), order)
     if models.languages:
         kept = drawn.where(F.col("__part") < CALIBRATION_64THS).select("label", "text")
-        shared = docs.sparkSession.sparkContext.broadcast(models)
+        sent, key = Sent(docs.sparkSession, models), uuid.uuid4().hex
 
         def totals(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sums = _Scores(shared.value).texts(batch.column("text").to_pylist())
+            scores = worker_state("language", key, lambda: _Scores(sent.open()))
+            sums = scores.texts(batch.column("text").to_pylist())
             return pa.RecordBatch.from_arrays(
                 [batch.column("label"), pa.array(list(sums), pa.list_(pa.float64()))], ["label", "totals"]
             )
@@ -311,14 +312,14 @@ def fit(docs: DataFrame, allowed, label: str = "lang", text: str = "text", id_co
 
 def identify(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (0 to 1) and ``rejected``. No shuffle."""
-    shared, key = docs.sparkSession.sparkContext.broadcast(models), uuid.uuid4().hex
+    sent, key = Sent(docs.sparkSession, models), uuid.uuid4().hex
     kept = without(docs, "lang_pred", "score", "rejected")
     added = [StructField("lang_pred", StringType()), StructField("score", DoubleType()),
              StructField("rejected", BooleanType())]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        scores = worker_state("language", key, lambda: _Scores(shared.value))
-        names, score, rejected = shared.value.decide(scores.texts(batch.column(text).to_pylist()))
+        scores = worker_state("language", key, lambda: _Scores(sent.open()))
+        names, score, rejected = scores.models.decide(scores.texts(batch.column(text).to_pylist()))
         return pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(names, pa.string()), pa.array(score), pa.array(rejected)],
             [*batch.schema.names, "lang_pred", "score", "rejected"],

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from glossaflow.llm.common import map_batches, quoted, without, worker_state
+from glossaflow.llm.common import Sent, map_batches, quoted, without, worker_state
 from glossaflow.scratch import stage
 
 SAMPLE_ROWS = 24_000
@@ -137,13 +137,13 @@ class _Marks(dict):
 
 def with_features(docs: DataFrame, lexicon: Lexicon, text: str, drop_text: bool = True) -> DataFrame:
     """``docs`` with a column per feature; no shuffle."""
-    shared, key = docs.sparkSession.sparkContext.broadcast(lexicon), uuid.uuid4().hex
+    sent, key = Sent(docs.sparkSession, lexicon), uuid.uuid4().hex
     names = [c for c in docs.columns if c != text or not drop_text]
     fields = docs.select(*map(quoted, names)).schema.fields
     schema = StructType([*fields, *(StructField(f"__{f}", DoubleType(), False) for f in FEATURES)])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        marks = worker_state("toxicity", key, lambda: _Marks(shared.value))
+        marks = worker_state("toxicity", key, lambda: _Marks(sent.open()))
         made = np.array([marks.features(value) for value in batch.column(text).to_pylist()]).reshape(-1, len(FEATURES))
         return pa.RecordBatch.from_arrays(
             [*(batch.column(c) for c in names), *(pa.array(column) for column in made.T)],
