@@ -14,33 +14,41 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import public_tokenizers
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import glossaflow
 from glossaflow.llm import bpe, decontamination, jaccard_join, language_id, toxicity
-from glossaflow.llm.common import held_out, table
+from glossaflow.llm.common import held_out, quoted, table
 from glossaflow.scratch import scratch_folder, stage
 
 # Python functions travel with the job: executors need no copy of the package.
 cloudpickle.register_pickle_by_value(glossaflow)
 
 
+def _aside(docs: DataFrame) -> DataFrame:
+    """``docs`` with all columns but the text renamed, so that none is taken for one an operator adds."""
+    return docs.select(*[quoted(c).alias(c if c == "text" else f"__given{i}") for i, c in enumerate(docs.columns)])
+
+
+def _back(kept: DataFrame, names: list[str]) -> DataFrame:
+    return kept.select(*[F.col(c if c == "text" else f"__given{i}").alias(c) for i, c in enumerate(names)])
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that read like one of the languages of the corpus; rejected ones go."""
     models = language_id.fit(docs, ~held_out("doc_id", 4, 2))
-    scored = language_id.identify(docs.withColumnRenamed("lang", "given_lang"), models)
-    kept = scored.where("not rejected").withColumnRenamed("given_lang", "lang")
-    return kept.select(*docs.columns)
+    return _back(language_id.identify(_aside(docs), models).where("not rejected"), docs.columns)
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out("doc_id", 5, 0))
-    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+    return _back(toxicity.score(_aside(docs), model).where("predicted = 0"), docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document per class of near duplicates: five-word shingles, similarity 0.8 or more."""
-    return jaccard_join.one_per_class(docs, words=5, num=8, den=10)
+    return jaccard_join.one_per_class(docs, words=5, num=8, den=10, scan=True)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
