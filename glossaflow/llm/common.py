@@ -44,6 +44,7 @@ def worker_state(kind: str, key: object, build: Callable[[], object]) -> object:
     operator = kind.split("-")[0]
     if getattr(module, "operator", None) != operator:
         module.operator, module.held = operator, {}
+        gc.collect()
         give_back_memory()
     if kind not in module.held or module.held[kind][0] != key:
         module.held.pop(kind, None)
@@ -53,7 +54,6 @@ def worker_state(kind: str, key: object, build: Callable[[], object]) -> object:
 
 def give_back_memory() -> None:
     """Return what was freed in this process to the machine, as far as its C library can."""
-    gc.collect()
     pa.default_memory_pool().release_unused()
     with suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
@@ -94,6 +94,7 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
             made = function(part)
             if made is not None and made.num_rows:
                 yield made
+        give_back_memory()
 
     return df.mapInArrow(run, schema)
 

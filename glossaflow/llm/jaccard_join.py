@@ -28,6 +28,7 @@ empty table.
 
 from __future__ import annotations
 
+import math
 import uuid
 from functools import reduce
 from itertools import combinations
@@ -46,7 +47,7 @@ from glossaflow.scratch import scratch_folder, stage
 HEAVY_LIMIT = 500_000
 # Rounds of hubs at most; they end once a round links fewer than this share of the sets in buckets.
 ROUNDS = 5
-LEAST_PROGRESS = 0.005
+LEAST_PROGRESS = 0.02
 # Fronts longer than this are never enumerated as subsets.
 LONGEST_SMALL_FRONT = 64
 # Longs of a set's bitmap, and hubs per set whose bitmaps are compared in a round.
@@ -56,8 +57,8 @@ HUBS = 4
 FIRST_KEYS = 16
 # Rows of a file are numbered below two to this power.
 FILE_ROWS_BITS = 40
-_BUFFER = 2_000_000
-_REMEMBERED = 600_000
+_BUFFER = 1_000_000
+_REMEMBERED = 200_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -322,7 +323,8 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10
         fronts.where("size(keys) > 0").select("node", "n", "keys").dropDuplicates(["node"])
         .select("node", "n", F.posexplode("keys").alias("place", "key")).select("key", "node", "n", "place")
     )
-    entries = keep(_shared(placed, "node", folder, "buckets"), "entries")
+    listed = keep(_shared(placed, "node", folder, "lists"), "listed")
+    entries = keep(_shared(_by_size(listed, num, den), "node", folder, "buckets"), "entries")
     nodes = keep(entries.select("node").distinct(), "nodes")
     marks = fronts.select("node", "n", *_bitmap_columns("")).join(
         F.broadcast(nodes) if small(nodes, 16) else nodes, "node", "left_semi").dropDuplicates(["node"])
@@ -369,6 +371,14 @@ def _shared(entries: DataFrame, of: str, folder: str, name: str) -> DataFrame:
     return entries.join(stage(ends.where("low != high").select("key"), name, folder), "key", "left_semi")
 
 
+def _by_size(entries: DataFrame, num: int, den: int) -> DataFrame:
+    """``entries`` with buckets for sets of like size only. Sizes fall into bands as wide as linked sets can differ; a
+    set enters the bucket of its band and of the next one, so linked sets share one of them."""
+    band = F.floor(F.log("n") / F.lit(math.log(den / num) * 1.0001))
+    return entries.withColumn("band", F.explode(F.array(band, band + 1))).select(
+        F.xxhash64("key", "band").alias("key"), "node", "n", "place")
+
+
 def _labelled(entries: DataFrame, forest: DataFrame | None, folder: str, name: str) -> DataFrame:
     """Bucket entries with the component of their set, without buckets that lie in one component."""
     if forest is None:
