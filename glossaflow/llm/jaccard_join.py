@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from glossaflow.llm.common import map_batches, quoted, small, worker_state
+from glossaflow.llm.common import give_back_memory, map_batches, quoted, small, worker_state
 from glossaflow.llm.components import as_edges, star_forest
 from glossaflow.registry.languages import small_table
 from glossaflow.scratch import scratch_folder, stage
@@ -146,6 +146,8 @@ def _frequencies(rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
                     sets, seen, gathered = [], set(), 0
         if sets:
             yield report(sets)
+        del sets, seen
+        give_back_memory()
 
     found = rows.select("text").mapInArrow(run, "kind int, key long, n long")
     return found.groupBy("kind", "key").agg(F.sum("n").alias("n"))
@@ -238,18 +240,40 @@ def _bitmap_columns(suffix: str) -> list[str]:
     return [f"bits{i}{suffix}" for i in range(BITMAP)]
 
 
+def _wide(values: np.ndarray) -> np.ndarray:
+    """A bitmap in longs that grows with the set: at least four bits a shingle, their number a power of two."""
+    bits = np.zeros(max(64, 1 << (4 * len(values) - 1).bit_length()), np.uint8)
+    bits[values & np.uint64(len(bits) - 1)] = 1
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
 def _sets(rows: DataFrame, words: int) -> DataFrame:
-    """``(node, shingles)`` of texts, by the name of their set."""
+    """``(node, n, wide, shingles)`` of texts, by the name of their set."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         known = worker_state("jaccard", words, _Words)
         made = [shingles(text, words, known) for text in batch.column("text").to_pylist()]
         return pa.RecordBatch.from_arrays(
-            [pa.array(map(_name, made), pa.int64()), pa.array([m.view(np.int64) for m in made], pa.list_(pa.int64()))],
-            ["node", "shingles"],
+            [pa.array(map(_name, made), pa.int64()), pa.array(map(len, made), pa.int64()),
+             pa.array([_wide(m) for m in made], pa.list_(pa.int64())),
+             pa.array([m.view(np.int64) for m in made], pa.list_(pa.int64()))],
+            ["node", "n", "wide", "shingles"],
         )
 
-    return map_batches(rows.select("text"), run, "node long, shingles array<long>")
+    return map_batches(rows.select("text"), run, "node long, n long, wide array<long>, shingles array<long>")
+
+
+def _lacking(one: str, other: str):
+    """Bits of one wide bitmap that the other lacks; the longer one is first folded to the shorter one's length."""
+    size = F.least(F.size(one), F.size(other))
+
+    def folded(name: str):
+        upper = F.slice(name, size + 1, size)
+        return F.when(F.size(name) == size, F.col(name)).otherwise(
+            F.zip_with(F.slice(name, F.lit(1), size), upper, lambda low, high: low.bitwiseOR(high)))
+
+    missing = F.zip_with(folded(one), folded(other), lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
+    return F.aggregate(missing, F.lit(0), lambda total, n: total + n)
 
 
 class _Verifier:
@@ -266,12 +290,26 @@ class _Verifier:
         nodes = stage(nodes, f"nodes_{name}", self.folder)
         few = small(nodes, 16)
         self._read(nodes, name)
-        mine = reduce(DataFrame.union, self.sets).join(F.broadcast(nodes) if few else nodes, "node", "left_semi")
-        first = mine.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
-        second = mine.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
-        shared = F.size(F.array_intersect("of_a", "of_b"))
-        both = pairs.join(first, "a").join(second, "b").select(
-            "a", "b", shared.alias("shared"), (F.size("of_a") + F.size("of_b")).alias("sum"))
+        sets = reduce(DataFrame.union, self.sets)
+
+        def of(nodes: DataFrame, column: str) -> list[DataFrame]:
+            mine = sets.join(F.broadcast(nodes) if few else nodes, "node", "left_semi")
+            return [mine.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col(column).alias(f"{column}_{x}"))
+                    for x in ("a", "b")]
+
+        # A bitmap that fits the set's size leaves few pairs whose shingles have to be fetched.
+        first, second = of(nodes, "wide")
+        needed = F.ceil((F.col("n_a") + F.col("n_b")) * F.lit(self.num) / F.lit(self.num + self.den) - F.lit(1e-9))
+        likely = pairs.join(first, "a").join(second, "b").where(
+            (F.size("wide_a") <= 2 * F.size("wide_b")) & (F.size("wide_b") <= 2 * F.size("wide_a"))
+            & (F.col("n_a") - _lacking("wide_a", "wide_b") >= needed)
+            & (F.col("n_b") - _lacking("wide_b", "wide_a") >= needed)).select("a", "b")
+        likely = stage(likely, f"likely_{name}", self.folder)
+        ends = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
+        first, second = of(ends, "shingles")
+        shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
+        both = likely.join(first, "a").join(second, "b").select(
+            "a", "b", shared.alias("shared"), (F.col("n_a") + F.col("n_b")).alias("sum"))
         linked = both.where(F.col("shared") * self.den >= (F.col("sum") - F.col("shared")) * self.num)
         return stage(as_edges(linked.select("a", "b")), f"links_{name}", self.folder)
 
