@@ -14,14 +14,16 @@ text; if a page has an ``article`` or ``main`` element, text outside of it is no
 more than ``MOST_OF_MAIN`` of the characters that a page declares as main text, as it does among near copies of an
 article, the page keeps what it declares. Names count as whole words (``sidebar``, ``ad``) or as known compounds of them
 (``main-menu``, ``share-buttons``), never on ``html``, ``body``, ``main`` or ``article``, and not at all on a page of
-which they would leave nothing.
+which they would leave nothing. The name of a wrapper does not reach into a ``main`` it holds, nor into an ``article`` if
+the page declares no other main text and the article is longer than what stands outside; comments stay comments.
 
 Two passes parse the pages, after one that counts digests of them; between them only counts per host, place and content
 are moved, combined per task. The tables of repeated digests and of places to leave out are joined by host (sent to all
 executors if measured to be small).
 
 Results: null and empty pages give an empty text. White space within a block becomes one blank, blocks are joined
-in page order by a newline. Unclosed and misnested tags are closed as their neighbours demand; hosts are taken from
+in page order by a newline. Unclosed and misnested tags are closed as their neighbours demand, a tag cut off by the end of
+the page is markup; time and memory grow with the length of a page, however deep it nests. Hosts are taken from
 the url, pages without one form a host of their own. Repeated rows are extracted each.
 """
 
@@ -77,62 +79,94 @@ NO_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search fo
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+# What is left of a tag that never ends, or whose quotes do not match.
+_CUT_OFF = re.compile(r"<(?:/?[a-zA-Z]|[!?])[^>]*>?")
+_COMMENTS = re.compile(r"comment|respond|replies", re.I)
 _DIGITS = re.compile(r"\d+")
 _SPACE = re.compile(r"\s+")
 
 
-@dataclass
+# Ranks of text: undeclared, in an article below a named wrapper, in an article or main element.
+PLAIN, WRAPPED, DECLARED = range(3)
+
+
+@dataclass(slots=True)
 class Node:
-    """An open element: its place, and whether text in it is declared to be none, or main text."""
+    """An open element. ``place`` and ``parent`` are codes of its place and of the one around it; ``silent``: text in it is
+    none by its elements; ``named``: by the names of a wrapper (2: of comments); ``inside``: an article or main is around."""
 
     tag: str
-    place: str
-    silent: bool
-    main: bool
-    children: list[str] = field(default_factory=list)
+    place: int
+    parent: int
+    silent: bool = False
+    named: int = 0
+    inside: bool = False
+    rank: int = PLAIN
+    block: Node | None = None
+    children: list[str] | None = None
 
 
 @dataclass
 class Page:
-    """Blocks of text ``(place, text, main)`` in page order, and layouts ``(place, children)`` of elements."""
+    """Blocks of text ``(place, parent, text, rank)`` in page order, and layouts ``(place, children)`` as codes."""
+
+    blocks: list[tuple[int, int, str, int]] = field(default_factory=list)
+    layouts: list[tuple[int, int]] = field(default_factory=list)
 
-    blocks: list[tuple[str, str, bool]] = field(default_factory=list)
-    layouts: list[tuple[str, str]] = field(default_factory=list)
-    has_main: bool = False
+    def main_rank(self) -> int:
+        sizes = [0, 0, 0]
+        for _, _, text, rank in self.blocks:
+            sizes[rank] += len(text)
+        return DECLARED if sizes[DECLARED] else WRAPPED if sizes[WRAPPED] > sizes[PLAIN] else PLAIN
+
+    def declared(self) -> list[tuple[int, int, str]]:
+        """``(place, parent, text)`` of what the page itself declares as its main text."""
+        wanted = self.main_rank()
+        return [(place, parent, text) for place, parent, text, rank in self.blocks if rank == wanted]
 
     def texts(self, dropped: frozenset[int] = frozenset()) -> list[str]:
-        declared = [(place, text) for place, text, main in self.blocks if main or not self.has_main]
-        left = [text for place, text in declared if place_code(place) not in dropped] if dropped else None
-        if left is None or self.has_main and sum(map(len, left)) < (1 - MOST_OF_MAIN) * sum(len(t) for _, t in declared):
-            return [text for _, text in declared]
-        return left
+        declared = self.declared()
+        if dropped:
+            left = [text for place, _, text in declared if place not in dropped]
+            if self.main_rank() == PLAIN or sum(map(len, left)) >= (1 - MOST_OF_MAIN) * sum(len(t) for *_, t in declared):
+                return left
+        return [text for *_, text in declared]
 
 
-def place_code(place: str) -> int:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(place)).astype(np.int64))
+def code(value: str) -> int:
+    return int(np.uint64(xxhash.xxh3_64_intdigest(value)).astype(np.int64))
 
 
 def _open(tag: str, attributes: str, parent: Node, by_name: bool) -> Node:
     """An element below ``parent``; ``by_name``: whether its class and id may declare it to be no text."""
     by_name = by_name and tag not in NEVER_BY_NAME
-    names, silent = "", parent.silent or tag in NO_TEXT or (tag == "header" and not parent.main)
-    main = tag in ("article", "main")
+    names, silent = "", parent.silent or tag in NO_TEXT or (tag == "header" and not parent.inside)
+    named, kind = parent.named, tag if tag in ("article", "main") else ""
     if attributes and "=" in attributes or "hidden" in attributes:
         for name, *values in _ATTRIBUTE.findall(attributes):
             value = next((v for v in values if v), "")
             name = name.lower()
             if name in ("class", "id"):
                 words = value.split()
-                silent = silent or by_name and any(map(NO_TEXT_NAMES.search, words))
+                if by_name:
+                    found = [w for w in words if NO_TEXT_NAMES.search(w)]
+                    named = max(named, 2 if any(map(_COMMENTS.search, found)) else 1 if found else 0)
                 names += "".join(f".{w}" for w in sorted(_DIGITS.sub("", w) for w in words))
             elif name == "role":
                 silent = silent or value.lower() in NO_TEXT_ROLES
-                main = main or value.lower() in ("main", "article")
+                kind = kind or (value.lower() if value.lower() in ("main", "article") else "")
             elif name == "style":
                 silent = silent or "display:none" in value.replace(" ", "").lower()
             else:
                 silent = silent or name == "hidden" or value.lower() == "true"
-    return Node(tag, f"{parent.place}/{tag}{names}", silent, (main or parent.main) and not silent)
+    rank = parent.rank
+    if kind and not parent.inside:
+        # the first article or main on the way down: names of wrappers around it end here
+        rank = WRAPPED if named and kind == "article" else DECLARED
+        named = 0 if kind == "main" or named < 2 else named
+    node = Node(tag, code(f"{parent.place}/{tag}{names}"), parent.place, silent, named, parent.inside or bool(kind), rank)
+    node.block = node if tag in BLOCK else parent.block
+    return node
 
 
 def parse(source: str | None) -> Page:
@@ -142,32 +176,33 @@ def parse(source: str | None) -> Page:
 
 
 def _parse(source: str | None, by_name: bool) -> Page:
-    page, root = Page(), Node("", "", False, False)
+    page, root = Page(), Node("", 0, 0)
     if not source:
         return page
-    stack, words, at = [root], [], 0
-    owner: Node = root
+    root.block = root
+    stack, words, at, owner = [root], [], 0, root
+    places: dict[str, list[int]] = {}  # where in the stack elements of a tag are open
 
     def flush() -> None:
         nonlocal words
         text = _SPACE.sub(" ", html.unescape("".join(words))).strip()
         words = []
         if text:
-            page.blocks.append((owner.place, text, owner.main))
-            page.has_main = page.has_main or owner.main
+            page.blocks.append((owner.place, owner.parent, text, owner.rank))
 
     def close(depth: int) -> None:
         while len(stack) > depth:
             node = stack.pop()
-            page.layouts.append((node.place, ",".join(node.children)))
+            places[node.tag].pop()
+            page.layouts.append((node.place, code(",".join(node.children or ()))))
 
-    def block_of() -> Node:
-        return next((n for n in reversed(stack) if n.tag in BLOCK), stack[0])
+    def innermost(tags) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
 
     while True:
         found = _TOKEN.search(source, at)
-        if not stack[-1].silent and (text := source[at : found.start() if found else len(source)]):
-            words.append(text)
+        if not (stack[-1].silent or stack[-1].named) and (text := source[at : found.start() if found else len(source)]):
+            words.append(_CUT_OFF.sub("", text) if "<" in text else text)
         if not found:
             break
         at = found.end()
@@ -175,28 +210,25 @@ def _parse(source: str | None, by_name: bool) -> Page:
             continue
         tag = found[2].lower()
         if found[1]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
             if tag in BLOCK:
                 flush()
-            if depth:
+            if depth := innermost((tag,)):
                 close(depth)
-            owner = block_of()
+            owner = stack[-1].block
             continue
         if tag == "br":
             words.append(" ")
             continue
         if tag in BLOCK or tag in CLOSES:
             flush()
-            closing = CLOSES.get(tag, set()) | ({"p"} if tag in BLOCK else set())
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in closing:
-                    close(i)
-                    break
-                if stack[i].tag in KEEPS_APART:
-                    break
+            depth = innermost(CLOSES.get(tag, set()) | ({"p"} if tag in BLOCK else set()))
+            if depth and depth >= innermost(KEEPS_APART):
+                close(depth)
+        if stack[-1].children is None:
+            stack[-1].children = []
         stack[-1].children.append(tag)
         if tag in VOID:
-            owner = block_of()
+            owner = stack[-1].block
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(source, at)
@@ -204,8 +236,9 @@ def _parse(source: str | None, by_name: bool) -> Page:
             continue
         if found[3].endswith("/") and tag not in BLOCK:
             continue
+        places.setdefault(tag, []).append(len(stack))
         stack.append(_open(tag, found[3], stack[-1], by_name))
-        owner = block_of()
+        owner = stack[-1].block
     flush()
     close(1)
     return page
@@ -234,15 +267,13 @@ def style_counts(pages: DataFrame) -> DataFrame:
         counts: dict[tuple[str, int, int, int], float] = {}
         for host, source, weight in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "weight"))):
             page = parse(source)
-            seen = {(host, 0, place_code(p), place_code(t)) for p, t, main in page.blocks if main or not page.has_main}
-            places = {p.rpartition("/")[0] for p, _, main in page.blocks if main or not page.has_main}
-            seen |= {(host, 1, place_code(p), place_code(c)) for p, c in page.layouts if p in places}
+            declared = page.declared()
+            parents = {parent for _, parent, _ in declared}
+            seen = {(host, 0, place, code(text)) for place, _, text in declared}
+            seen |= {(host, 1, place, children) for place, children in page.layouts if place in parents}
+            seen |= {(host, 2, place, parent) for place, parent, _ in declared}
             for key in seen:
                 counts[key] = counts.get(key, 0.0) + weight
-            parents = {(host, 2, place_code(p), place_code(p.rpartition("/")[0]))
-                       for p, _, main in page.blocks if main or not page.has_main}
-            for key in parents:
-                counts[key] = counts.get(key, 0.0) + weight
         if not counts:
             return None
         hosts, kinds, places, values = zip(*counts)
@@ -263,20 +294,22 @@ def importance(counts: DataFrame) -> DataFrame:
 
     Place 2 rows give the number of pages with the place, and its parent.
     """
-    standing = counts.where("kind = 2").select("host", "place", F.col("value").alias("parent"), F.col("n").alias("pages"))
-    m = F.log(F.greatest(F.col("pages"), F.lit(2)).cast("double"))
-    contents = (
-        counts.where("kind = 0").join(standing, ["host", "place"])
-        .groupBy("host", "place", "parent", "pages")
-        .agg((F.sum(F.col("n") * (1 - F.least(F.log("n") / m, F.lit(1.0)))) / F.sum("n")).alias("content"))
+    # Entropies from sums of n and n log n, combined before the shuffle: no join meets the rows of one place.
+    n, n_log_n = F.col("n"), F.col("n") * F.log("n")
+    of = lambda kind, value: F.sum(F.when(F.col("kind") == kind, value))
+    sums = counts.groupBy("host", "place").agg(
+        of(0, n).alias("texts"), of(0, n_log_n).alias("texts_log"), of(1, n).alias("total"),
+        of(1, n_log_n).alias("total_log"), F.max(F.when(F.col("kind") == 2, F.struct("n", "value"))).alias("standing"),
+    )
+    sums = stage(sums, "sums", scratch_folder(counts.sparkSession))
+    at_least_two = lambda c: F.log(F.greatest(F.col(c), F.lit(2)).cast("double"))
+    contents = sums.where("standing is not null").select(
+        "host", "place", F.col("standing.value").alias("parent"), F.col("standing.n").alias("pages"),
+        (1 - F.col("texts_log") / (F.col("texts") * at_least_two("standing.n"))).alias("content"),
     )
-    layouts = counts.where("kind = 1")
-    totals = layouts.groupBy("host", "place").agg(F.sum("n").alias("total"))
-    share = F.col("n") / F.col("total")
-    entropy = (
-        layouts.join(totals, ["host", "place"])
-        .groupBy("host", F.col("place").alias("parent"))
-        .agg((-F.sum(share * F.log(share)) / F.log(F.greatest(F.max("total"), F.lit(2)).cast("double"))).alias("layout"))
+    entropy = sums.where("total is not null").select(
+        "host", F.col("place").alias("parent"),
+        ((F.log("total") - F.col("total_log") / F.col("total")) / at_least_two("total")).alias("layout"),
     )
     both = contents.join(entropy, ["host", "parent"], "left")
     layout = F.coalesce("layout", F.lit(0.0))
