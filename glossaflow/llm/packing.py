@@ -8,7 +8,7 @@ the smallest such c not below the piece's length goes up and down the tree in O(
 A shard is what a task reads until ``SHARD_TOKENS`` ids are gathered, so memory is bounded, no row is moved and
 no shuffle takes place; at this size the last rows of a shard waste far less than a thousandth.
 
-A result row is a packed row: ``shard`` (file, offset and number), ``row``, ``n_tokens``, ``input_ids`` (little-endian
+A result row is a packed row: ``shard`` (file, offset, partition and number), ``row``, ``n_tokens``, ``input_ids`` (little-endian
 uint16 or uint32, filled up with ``pad_id``), ``cu_seqlens`` (cumulative piece lengths, from 0), ``position_ids``
 (same width as the ids; starts again at 0 with every piece and for the padding), and ``segments`` with document,
 piece number and length in order of their place.
@@ -147,7 +147,9 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, row_length: int = ROW_L
     pad = vocabulary if pad_id is None else pad_id
     kind = np.dtype("<u2") if max(vocabulary, pad, row_length) < 1 << 16 else np.dtype("<u4")
     shared = docs.sparkSession.sparkContext.broadcast(content)
-    origin = F.concat_ws(":", F.regexp_extract(F.input_file_name(), "[^/]*$", 0), F.input_file_block_start())
+    # The partition tells tasks apart that read no file, or files of one name.
+    origin = F.concat_ws(":", F.regexp_extract(F.input_file_name(), "[^/]*$", 0), F.input_file_block_start(),
+                         F.spark_partition_id())
     rows = docs.select(quoted(id_column).cast("long").alias("doc_id"), quoted(text).alias("text"), origin.alias("origin"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
