@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossaflow.llm.common import map_batches, without, worker_state
+from glossaflow.scratch import scratch_folder, stage
 
 CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens long"
 
@@ -29,7 +30,9 @@ CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens long"
 def read_cache(spark: SparkSession, cache_path: str) -> DataFrame:
     try:
         return spark.read.schema(CACHE_SCHEMA).parquet(cache_path)
-    except AnalysisException:  # nothing was written yet
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":  # nothing was written yet
+            raise
         return spark.createDataFrame([], CACHE_SCHEMA)
 
 
@@ -71,10 +74,14 @@ def count_tokens(docs: DataFrame, model_path: str, cache_path: str, text: str =
     if known.isEmpty() or not rows.select("digest").join(known, "digest", "left_anti").isEmpty():
         counted.select(F.lit(version).alias("tokenizer"), "digest", "n_tokens").write.mode("append").parquet(cache_path)
 
-    counts = (
+    # Written before the join, so that the rows of a frequent text are split over tasks.
+    counts = stage(
         read_cache(spark, cache_path).where(F.col("tokenizer") == version)
-        .groupBy(F.col("digest").alias("__digest")).agg(F.max("n_tokens").alias("n_tokens"))
+        .groupBy(F.col("digest").alias("__digest")).agg(F.max("n_tokens").alias("n_tokens")),
+        "counts", scratch_folder(spark),
     )
     kept = without(docs, "n_bytes", "n_tokens")
     rows = kept.withColumn("__digest", digest).withColumn("n_bytes", F.octet_length(content).cast("long")).drop(text)
-    return rows.join(counts, "__digest").drop("__digest")
+    found = rows.join(counts, "__digest", "left").drop("__digest")
+    lost = F.raise_error(F.lit("the cache lost a count that was written")).cast("long")
+    return found.withColumn("n_tokens", F.coalesce("n_tokens", lost))
