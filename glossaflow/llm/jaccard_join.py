@@ -53,7 +53,7 @@ LONGEST_SMALL_FRONT = 64
 # Longs of a set's bitmap, and hubs per set whose bitmaps are compared in a round.
 BITMAP = 16
 HUBS = 4
-# Shared buckets of a set, the first ones in the global order, that tell in which bucket a pair is taken.
+# Shared buckets of a set, the first ones in an order common to its kind, that tell in which bucket a pair is taken.
 FIRST_KEYS = 16
 # Rows of a file are numbered below two to this power.
 FILE_ROWS_BITS = 40
@@ -472,10 +472,11 @@ def _between(entries: DataFrame, marks: DataFrame, num: int, den: int, limit: in
     A pair is taken from the first bucket it shares, as far as the first ``FIRST_KEYS`` buckets of its sets tell;
     if these have none in common, from every bucket it shares, and repeated pairs are dropped. What stands before
     the first common shingle in a front is not shared; that is asked of large sets only (above ``limit``), whose
-    places are those of shingles.
+    places are those of shingles and order their buckets. The buckets of small sets are ordered by their keys, which are
+    hashes: near copies differ in the rare shingles at their fronts, but of equal shares the least hashes mostly agree.
     """
-    order = Window.partitionBy("node").orderBy("place", "key")
-    ranked = entries.select("node", "place", "key").withColumn("rank", F.row_number().over(order))
+    order = Window.partitionBy("node").orderBy(F.when(F.col("n") > limit, F.col("place")), "key")
+    ranked = entries.select("node", "n", "place", "key").withColumn("rank", F.row_number().over(order))
     listed = F.sort_array(F.collect_list(F.struct("rank", "key")))["key"]
     first = ranked.where(F.col("rank") <= FIRST_KEYS).groupBy("node").agg(listed.alias("first"))
     rows = entries.join(marks.join(first, "node"), "node")
