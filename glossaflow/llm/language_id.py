@@ -8,8 +8,10 @@ character. A part of the sample is kept out of the counts and calibrates the con
 rejection: a text is rejected if its cross-entropy lies further above the usual one of its language than that of
 any calibration text, by a margin, at its length.
 
-The sample holds at most ``sample_chars`` characters per language (whole texts, chosen by a hash of the id; one
-step of the choice is kept even if it alone is longer). Everything else covers all rows.
+The sample holds at most ``sample_chars`` characters per language: whole texts, chosen by a hash of the text, so that
+copies count once, are learned once, and never both teach and calibrate. Texts longer than ``sample_chars`` are not
+learned from; of a language whose first step of the choice is longer, only its longest text. Everything else covers
+all rows.
 
 Results: null texts, and texts without a letter, get ``und``, score 0 and are rejected; so does every text if
 nothing was learned. Ties go to the first language in alphabetical order. Rows are scored each on their own,
@@ -251,33 +253,40 @@ class _Scores(dict):
         return result
 
 
-def sample(docs: DataFrame, allowed, label: str, text: str, id_column: str, chars: int = SAMPLE_CHARS) -> DataFrame:
-    """Labelled texts of at most ``chars`` characters per label: ``(label, text, __part)``, ``__part`` in 0..63.
+def sample(docs: DataFrame, allowed, label: str, text: str, chars: int = SAMPLE_CHARS) -> DataFrame:
+    """Distinct labelled texts of at most ``chars`` characters per label: ``(label, text, __part)``, ``__part`` in 0..63.
 
-    Ids are ranked by a hash in steps of an eighth of a factor of two; per label the steps that fit are taken,
-    from the rarest on. Only one sum per label and step is moved to find them.
+    Texts are ranked by a hash in steps of an eighth of a factor of two; per label the steps that fit are taken,
+    from the rarest on. If the rarest is too long, its longest text is taken. Only hashes and lengths are moved to
+    find the steps.
     """
-    key = F.coalesce(quoted(id_column).cast("string"), F.lit(""))
-    uniform = (F.shiftrightunsigned(F.xxhash64(key, F.lit("sample")), 12) + 1) / F.lit(2.0**52)
-    usable = docs.where(allowed & quoted(label).isNotNull() & quoted(text).isNotNull()).select(
-        quoted(label).cast("string").alias("label"),
-        quoted(text).alias("text"),
-        F.floor(-F.log2(uniform) * _STEPS).cast("int").alias("step"),
-        (F.pmod(F.xxhash64(key, F.lit("part")), F.lit(64))).cast("int").alias("__part"),
+    uniform = (F.shiftrightunsigned(F.xxhash64("text", F.lit("sample")), 12) + 1) / F.lit(2.0**52)
+    usable = (
+        docs.where(allowed & quoted(label).isNotNull() & quoted(text).isNotNull())
+        .select(quoted(label).cast("string").alias("label"), quoted(text).alias("text"))
+        .where(F.length("text") <= chars)
+        .select(
+            "label", "text", F.floor(-F.log2(uniform) * _STEPS).cast("int").alias("step"),
+            F.xxhash64("text").alias("hash"),
+            (F.pmod(F.xxhash64("text", F.lit("part")), F.lit(64))).cast("int").alias("__part"),
+        )
     )
-    sizes = usable.groupBy("label", "step").agg(F.sum(F.length("text")).alias("chars"))
+    texts = usable.groupBy("label", "step", "hash").agg(F.max(F.length("text")).alias("chars"))
+    sizes = texts.groupBy("label", "step").agg(
+        F.sum("chars").alias("chars"), F.max(F.struct("chars", "hash"))["hash"].alias("longest"))
     order = Window.partitionBy("label").orderBy(F.desc("step"))  # a few hundred steps per label at most
     running = sizes.withColumn("sum", F.sum("chars").over(order)).withColumn("rank", F.row_number().over(order))
-    first = (
-        running.where((F.col("sum") <= chars) | (F.col("rank") == 1)).groupBy("label").agg(F.min("step").alias("from"))
-    )
-    return usable.join(F.broadcast(first), "label").where(F.col("step") >= F.col("from")).drop("step", "from")
+    first = running.where((F.col("sum") <= chars) | (F.col("rank") == 1)).groupBy("label").agg(
+        F.min("step").alias("from"), F.max(F.when(F.col("sum") > chars, F.col("longest"))).alias("only"))
+    taken = usable.join(F.broadcast(first), "label").where(
+        (F.col("step") >= F.col("from")) & F.coalesce(F.col("hash") == F.col("only"), F.lit(True)))
+    return taken.select("label", "text", "__part").distinct()
 
 
-def fit(docs: DataFrame, allowed, label: str = "lang", text: str = "text", id_column: str = "doc_id",
+def fit(docs: DataFrame, allowed, label: str = "lang", text: str = "text",
         sample_chars: int = SAMPLE_CHARS, order: int = ORDER) -> Models:
     """Models from the rows for which ``allowed`` holds. What reaches the driver is bounded by ``sample_chars``."""
-    drawn = sample(docs, allowed, label, text, id_column, sample_chars)
+    drawn = sample(docs, allowed, label, text, sample_chars)
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         found: dict[tuple[str, str], int] = {}

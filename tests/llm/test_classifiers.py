@@ -28,6 +28,17 @@ def test_language_of_held_out_documents(spark):
     assert {r["lang_pred"] for r in language_id.identify(odd, nothing).collect()} == {"und"}
 
 
+def test_sample_bound_holds_for_copies_null_ids_and_long_texts(spark):
+    rows = [(None, f"{i} " + "word " * 20, "a") for i in range(300)] + [(7, "the same again " * 10, "a")] * 500
+    rows += [(None, "copy " * 300, "b")] * 50 + [(1, "x" * 5000, "c"), (2, "", "d"), (3, None, "d"), (4, "e", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    drawn = language_id.sample(docs, F.lit(True), "lang", "text", 2000).collect()
+    assert len({(r["label"], r["text"]) for r in drawn}) == len(drawn)
+    chars = {name: sum(len(r["text"]) for r in drawn if r["label"] == name) for name in "abcd"}
+    assert 1000 < chars["a"] <= 2000 and chars["b"] == 1500 and chars["c"] == chars["d"] == 0
+    assert language_id.sample(docs.limit(0), F.lit(True), "lang", "text").count() == 0
+
+
 def test_probabilities_of_a_context_sum_to_one():
     models = language_id.Models.train({("a", "abab"): 3, ("a", "ba"): 2, ("b", "cc"): 1}, order=3)
     words = [f"ab{c}" for c in "abcdefgh"]
