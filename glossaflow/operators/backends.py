@@ -19,13 +19,25 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class NativeBackend:
-    """``column(text, source, target)`` gives the translation."""
+    """``column(text, source, target)`` gives the translation.
+
+    ``merged(units, source, target)`` may give the same for an array of units at once, glued with single blanks, where that
+    is cheaper than a call per unit.
+    """
 
     name: str
     column: Callable[[Column, Column, Column], Column]
+    merged: Callable[[Column, Column, Column], Column] | None = None
+
+
+def _tagged(units: Column, source: Column, target: Column) -> Column:
+    """Units with the tag between them: ``array_join`` runs in generated code, a function per unit does not."""
+    tag = F.concat(F.lit("<"), target, F.lit("> "))
+    joined = F.call_function("array_join", units, F.concat(F.lit(" "), tag))
+    return F.when(F.size(units) > 0, F.concat(tag, joined)).otherwise(joined)
 
 
-TAG = NativeBackend("tag", lambda text, source, target: F.concat(F.lit("<"), target, F.lit("> "), text))
+TAG = NativeBackend("tag", lambda text, source, target: F.concat(F.lit("<"), target, F.lit("> "), text), _tagged)
 IDENTITY = NativeBackend("identity", lambda text, source, target: text)
 
 

@@ -337,6 +337,8 @@ def _translate_natively(
     def merged_text(helper: str) -> Column:
         if not cutting.sentences:
             return backend.column(F.get(helper, F.lit(0)), source, target)
+        if backend.merged:
+            return backend.merged(F.col(helper), source, target)
         return merge_sentences(F.transform(helper, lambda unit: backend.column(unit, source, target)))
 
     n_units = sum((F.greatest(F.coalesce(F.size(h), F.lit(0)), F.lit(0)) for h in helpers), F.lit(0))
