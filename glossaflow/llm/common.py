@@ -86,14 +86,17 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iter
 
 
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: StructType | str,
-                column: str = "text") -> DataFrame:
-    """Apply ``function`` to slices of record batches; a slice without result rows is skipped."""
+                column: str = "text", finish: Callable[[], object] | None = None) -> DataFrame:
+    """Apply ``function`` to slices of record batches; a slice without result rows is skipped. ``finish`` is called at
+    the end of a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, column):
             made = function(part)
             if made is not None and made.num_rows:
                 yield made
+        if finish:
+            finish()
         give_back_memory()
 
     return df.mapInArrow(run, schema)

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from glossaflow.llm.common import give_back_memory, map_batches, quoted, small, worker_state
 from glossaflow.llm.components import as_edges, star_forest
 from glossaflow.registry.languages import small_table
-from glossaflow.scratch import scratch_folder, stage
+from glossaflow.scratch import brief_shuffles, discard, scratch_folder, stage
 
 HEAVY_LIMIT = 500_000
 # Rounds of hubs at most; they end once a round links fewer than this share of the sets in buckets.
@@ -72,6 +72,11 @@ class _Words(dict):
         return value
 
 
+def _known(words: int) -> _Words:
+    """The words that this worker remembers; forgotten at the end of a task, as JVM stages follow that need the memory."""
+    return worker_state("jaccard", words, _Words)
+
+
 def shingles(text: str | None, words: int, known: _Words) -> np.ndarray:
     """Sorted distinct hashes of the runs of ``words`` words; A-Z are lower-cased, words end at ASCII white space."""
     parts = text.encode().lower().split() if text else ()
@@ -131,7 +136,7 @@ def _frequencies(rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
         )
 
     def run(batches):
-        known = worker_state("jaccard", words, _Words)
+        known = _known(words)
         sets, seen, gathered = [], set(), 0
         for batch in batches:
             for text in batch.column("text").to_pylist():
@@ -147,6 +152,7 @@ def _frequencies(rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
         if sets:
             yield report(sets)
         del sets, seen
+        known.clear()
         give_back_memory()
 
     found = rows.select("text").mapInArrow(run, "kind int, key long, n long")
@@ -210,7 +216,7 @@ def _fronts(rows: DataFrame, words: int, num: int, den: int, heavy, small_front:
         return keys
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        known = worker_state("jaccard", words, _Words)
+        known = _known(words)
         table, classes = worker_state("jaccard-heavy", key, lambda: shared.value)
         sizes, names, keys, bitmaps = [], [], [], []
         for text in batch.column("text").to_pylist():
@@ -226,7 +232,8 @@ def _fronts(rows: DataFrame, words: int, num: int, den: int, heavy, small_front:
         )
 
     columns = ", ".join(f"{c} long" for c in _bitmap_columns(""))
-    return map_batches(rows, run, f"id long, n long, node long, keys array<long>, {columns}")
+    return map_batches(rows, run, f"id long, n long, node long, keys array<long>, {columns}",
+                       finish=lambda: _known(words).clear())
 
 
 def _bitmap(values: np.ndarray) -> np.ndarray:
@@ -251,7 +258,7 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
     """``(node, n, wide, shingles)`` of texts, by the name of their set."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        known = worker_state("jaccard", words, _Words)
+        known = _known(words)
         made = [shingles(text, words, known) for text in batch.column("text").to_pylist()]
         return pa.RecordBatch.from_arrays(
             [pa.array(map(_name, made), pa.int64()), pa.array(map(len, made), pa.int64()),
@@ -260,7 +267,8 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
             ["node", "n", "wide", "shingles"],
         )
 
-    return map_batches(rows.select("text"), run, "node long, n long, wide array<long>, shingles array<long>")
+    return map_batches(rows.select("text"), run, "node long, n long, wide array<long>, shingles array<long>",
+                       finish=lambda: _known(words).clear())
 
 
 def _lacking(one: str, other: str):
@@ -282,6 +290,7 @@ class _Verifier:
     def __init__(self, rows: DataFrame, named: DataFrame, words: int, num: int, den: int, folder: str):
         self.rows, self.named, self.words, self.num, self.den, self.folder = rows, named, words, num, den, folder
         self.sets: list[DataFrame] = []
+        self.names: list[str] = []
 
     def links(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs ``(a, b)`` that link, as written edges."""
@@ -311,7 +320,13 @@ class _Verifier:
         both = likely.join(first, "a").join(second, "b").select(
             "a", "b", shared.alias("shared"), (F.col("n_a") + F.col("n_b")).alias("sum"))
         linked = both.where(F.col("shared") * self.den >= (F.col("sum") - F.col("shared")) * self.num)
-        return stage(as_edges(linked.select("a", "b")), f"links_{name}", self.folder)
+        links = stage(as_edges(linked.select("a", "b")), f"links_{name}", self.folder)
+        discard(self.rows.sparkSession, self.folder, *(f"{x}_{name}" for x in ("pairs", "nodes", "wanted", "likely")))
+        return links
+
+    def tables(self) -> list[str]:
+        """Names of the tables of sets; no pair can be checked once they are deleted."""
+        return [f"{kind}_{name}" for name in self.names for kind in ("sets", "distinct")]
 
     def _read(self, nodes: DataFrame, name: str) -> None:
         for earlier in self.sets:
@@ -326,7 +341,9 @@ class _Verifier:
         sets = stage(_sets(texts, self.words).join(names, "node", "left_semi"), f"sets_{name}", self.folder)
         if not wanted.where("copies > 1").isEmpty():  # rows that are repeated with their id
             sets = stage(sets.dropDuplicates(["node"]), f"distinct_{name}", self.folder)
+            discard(self.rows.sparkSession, self.folder, f"sets_{name}")
         self.sets.append(sets)
+        self.names.append(name)
 
 
 def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, id_column: str = "doc_id",
@@ -338,6 +355,13 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10
     """
     if not den / 2 < num < den:
         raise ValueError("the similarity must lie between 1/2 and 1")
+    with brief_shuffles(docs.sparkSession):
+        return _classes(docs, words, num, den, id_column, text)
+
+
+def _classes(docs: DataFrame, words: int, num: int, den: int, id_column: str, text: str) -> DataFrame:
+    """Every step is written, and what no later step reads is deleted: the disk holds the tables in use and the shuffles of
+    one step."""
     spark = docs.sparkSession
     folder = scratch_folder(spark)
 
@@ -348,7 +372,7 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10
     counts = keep(_frequencies(rows, words, num, den), "counts")
     small_front = choose_front(counts)
     fronts = keep(_fronts(rows, words, num, den, _heavy(counts), small_front), "fronts")
-    members = fronts.select("id", "n", "node")
+    members = keep(fronts.select("id", "n", "node"), "members")
     # The smallest id of each set, and a row to read it from: if it can be, one that has an id.
     alike = members.where("n > 0").groupBy("node", "id").agg(F.count("*").alias("copies"))
     row = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "copies")).alias("row")
@@ -361,12 +385,14 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10
         fronts.where("size(keys) > 0").select("node", "n", "keys").dropDuplicates(["node"])
         .select("node", "n", F.posexplode("keys").alias("place", "key")).select("key", "node", "n", "place")
     )
-    listed = keep(_shared(placed, "node", folder, "lists"), "listed")
-    entries = keep(_shared(_by_size(listed, num, den), "node", folder, "buckets"), "entries")
+    listed = keep(_repeated(placed, fronts.select(F.explode("keys").alias("key")), folder, "lists"), "listed")
+    sized = _by_size(listed, num, den)
+    entries = keep(_repeated(sized, sized, folder, "buckets"), "entries")
     nodes = keep(entries.select("node").distinct(), "nodes")
     marks = fronts.select("node", "n", *_bitmap_columns("")).join(
         F.broadcast(nodes) if small(nodes, 16) else nodes, "node", "left_semi").dropDuplicates(["node"])
     marks = keep(marks, "marks")
+    discard(spark, folder, "counts", "fronts", "lists", "listed", "buckets")
     check = _Verifier(rows, named, words, num, den, folder)
 
     # Every set that is not the smallest of its component, and that smallest one.
@@ -375,6 +401,7 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10
     for turn in range(ROUNDS):
         labelled = _labelled(entries, forest, folder, f"labels{turn}")
         found = check.links(_with_hubs(labelled, marks, turn, num, den, folder), f"hubs{turn}")
+        discard(spark, folder, f"labels{turn}", f"offers{turn}")
         new = found.count()
         if new or forest is None:
             forest = star_forest(found if forest is None else forest.union(found))
@@ -385,6 +412,7 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10
     found = check.links(_between(left, marks.drop("n"), num, den, limit), "rest")
     if found.count():
         forest = star_forest(forest.union(found))
+    discard(spark, folder, "entries", "nodes", "marks", "labels", "left", *check.tables())
     labels = _components(forest)
 
     # The smallest id of each class, then of each set, then beside each row.
@@ -409,6 +437,13 @@ def _shared(entries: DataFrame, of: str, folder: str, name: str) -> DataFrame:
     return entries.join(stage(ends.where("low != high").select("key"), name, folder), "key", "left_semi")
 
 
+def _repeated(entries: DataFrame, counted: DataFrame, folder: str, name: str) -> DataFrame:
+    """``entries`` of the buckets that ``counted`` has more than one row of. Counts are a fraction of what :func:`_shared`
+    moves, but a bucket with copies of one set only stays until copies are one row."""
+    often = counted.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1").select("key")
+    return entries.join(stage(often, name, folder), "key", "left_semi")
+
+
 def _by_size(entries: DataFrame, num: int, den: int) -> DataFrame:
     """``entries`` with buckets for sets of like size only. Sizes fall into bands as wide as linked sets can differ; a
     set enters the bucket of its band and of the next one, so linked sets share one of them."""

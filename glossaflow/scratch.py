@@ -11,6 +11,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Folders handed out in each open scope.
 _scopes: list[list[str]] = []
 
@@ -65,6 +66,28 @@ def path_exists(spark: SparkSession, folder: str) -> bool:
     return system.exists(path)
 
 
+def discard(spark: SparkSession, folder: str, *names: str) -> None:
+    """Delete tables that :func:`stage` wrote to ``folder``, once all that reads them has been written itself."""
+    for name in names:
+        system, path = file_system(spark, f"{folder}/{name}")
+        system.delete(path, True)
+
+
+@contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Have Spark delete the shuffle files of each query of this session as soon as it ends, not when the driver happens to
+    collect its garbage. Versions of Spark without that setting go on as before."""
+    known = spark.conf.isModifiable(SHUFFLE_CLEANUP_SETTING)
+    before = spark.conf.get(SHUFFLE_CLEANUP_SETTING) if known else None
+    if known:
+        spark.conf.set(SHUFFLE_CLEANUP_SETTING, "true")
+    try:
+        yield
+    finally:
+        if known:
+            spark.conf.set(SHUFFLE_CLEANUP_SETTING, before)
+
+
 def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back: later steps neither repeat its work nor depend on its lineage."""
     spark = df.sparkSession
