@@ -30,8 +30,8 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Iterator
 from functools import reduce
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +39,10 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from glossaflow.llm.common import give_back_memory, map_batches, quoted, small, worker_state
+from glossaflow.llm.common import give_back_memory, map_batches, quoted, small, text_slices, worker_state
 from glossaflow.llm.components import as_edges, star_forest
 from glossaflow.registry.languages import small_table
-from glossaflow.scratch import brief_shuffles, discard, scratch_folder, stage
+from glossaflow.scratch import brief_shuffles, discard, scratch_folder, small_batches, stage
 
 HEAVY_LIMIT = 500_000
 # Rounds of hubs at most; they end once a round links fewer than this share of the sets in buckets.
@@ -58,6 +58,8 @@ FIRST_KEYS = 16
 # Rows of a file are numbered below two to this power.
 FILE_ROWS_BITS = 40
 _BUFFER = 1_000_000
+# Rows of a task's report sent at once.
+_REPORTED = 1 << 15
 _REMEMBERED = 200_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -111,46 +113,57 @@ def boundary_size(front: int, num: int, den: int) -> int:
 def _frequencies(rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """``(kind, key, n)``: shingles and their sets (0), list pairs by front length (1), sets by front length (2)."""
 
-    def report(sets: list[np.ndarray]) -> pa.RecordBatch:
-        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    def report(sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        sizes = [len(s) for s in sets]
         flat = np.concatenate(sets)
-        values, inverse, counts = np.unique(flat, return_inverse=True, return_counts=True)
+        sets.clear()
+        order = np.argsort(flat)
+        flat = flat[order]
+        starts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+        counts = np.diff(starts, append=len(flat)).astype(np.int32)
         often = counts >= 2
+        shared, numbers = flat[starts[often]].view(np.int64), counts[often].astype(np.int64)
+        del flat, starts, often
+        held = np.empty(len(order), np.int32)  # how many sets hold the shingle, beside every shingle
+        held[order] = np.repeat(counts, counts)
+        del order, counts
         fronts: dict[int, list[int]] = {}
         at = 0
-        for size in sizes.tolist():
+        for size in sizes:
             front = front_length(size, num, den)
             if front <= LONGEST_SMALL_FRONT:
-                own = np.partition(counts[inverse[at : at + size]], front - 1)[:front] if front < size else (
-                    counts[inverse[at : at + size]])
+                own = held[at : at + size]
+                own = np.partition(own, front - 1)[:front] if front < size else own
                 entry = fronts.setdefault(front, [0, 0])
                 entry[0] += int((own - 1).sum())
                 entry[1] += 1
             at += size
-        keys = [*values[often].view(np.int64).tolist(), *fronts, *fronts, -1]
-        kinds = [0] * int(often.sum()) + [1] * len(fronts) + [2] * len(fronts) + [3]
-        numbers = [*counts[often].tolist(), *(e[0] for e in fronts.values()), *(e[1] for e in fronts.values()), 1]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(kinds, pa.int32()), pa.array(keys, pa.int64()), pa.array(numbers, pa.int64())],
+        few = [(1, f, e[0]) for f, e in fronts.items()] + [(2, f, e[1]) for f, e in fronts.items()] + [(3, -1, 1)]
+        kinds, keys, sums = np.array(few, np.int64).T
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([np.zeros(len(shared), np.int32), kinds.astype(np.int32)])),
+             pa.array(np.concatenate([shared, keys])), pa.array(np.concatenate([numbers, sums]))],
             ["kind", "key", "n"],
         )
+        for start in range(0, batch.num_rows, _REPORTED):
+            yield batch.slice(start, _REPORTED)
 
     def run(batches):
         known = _known(words)
         sets, seen, gathered = [], set(), 0
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                made = shingles(text, words, known)
+        for batch in text_slices(batches):
+            for text in batch.column("text"):
+                made = shingles(text.as_py(), words, known)
                 name = _name(made)
                 if len(made) and name not in seen:
                     seen.add(name)
                     sets.append(made)
                     gathered += len(made)
                 if gathered >= _BUFFER:
-                    yield report(sets)
+                    yield from report(sets)
                     sets, seen, gathered = [], set(), 0
         if sets:
-            yield report(sets)
+            yield from report(sets)
         del sets, seen
         known.clear()
         give_back_memory()
@@ -196,8 +209,9 @@ def _fronts(rows: DataFrame, words: int, num: int, den: int, heavy, small_front:
     order, and its bitmap."""
     shared, key = rows.sparkSession.sparkContext.broadcast(heavy), uuid.uuid4().hex
     limit = boundary_size(small_front, num, den) if small_front else 0
+    none = np.zeros(0, np.int64)
 
-    def one(values: np.ndarray, table: np.ndarray, classes: np.ndarray) -> list[int]:
+    def one(values: np.ndarray, table: np.ndarray, classes: np.ndarray) -> np.ndarray:
         size = len(values)
         front = front_length(size, num, den)
         ranks = np.zeros(size, np.int8)
@@ -208,22 +222,23 @@ def _fronts(rows: DataFrame, words: int, num: int, den: int, heavy, small_front:
             ranks[hit] = classes[at[hit]]
         # Values are sorted by hash already: a stable sort by class gives the global order.
         chosen = values[np.argsort(ranks, kind="stable")[: front + 1]]
-        keys: list[int] = []
+        keys = chosen[:0]
         if size <= limit:
-            keys = [int((a ^ (b << np.uint64(1))).astype(np.int64)) for a, b in combinations(chosen, 2)]
+            a, b = np.triu_indices(len(chosen), 1)
+            keys = chosen[a] ^ (chosen[b] << np.uint64(1))
         if size > limit or size * den > limit * num:
-            keys += chosen[:front].view(np.int64).tolist()
-        return keys
+            keys = np.concatenate([keys, chosen[:front]])
+        return keys.view(np.int64)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         known = _known(words)
         table, classes = worker_state("jaccard-heavy", key, lambda: shared.value)
         sizes, names, keys, bitmaps = [], [], [], []
-        for text in batch.column("text").to_pylist():
-            values = shingles(text, words, known)
+        for text in batch.column("text"):
+            values = shingles(text.as_py(), words, known)
             sizes.append(len(values))
             names.append(_name(values))
-            keys.append(one(values, table, classes) if len(values) > 1 else [])
+            keys.append(one(values, table, classes) if len(values) > 1 else none)
             bitmaps.append(_bitmap(values))
         return pa.RecordBatch.from_arrays(
             [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()),
@@ -259,7 +274,7 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         known = _known(words)
-        made = [shingles(text, words, known) for text in batch.column("text").to_pylist()]
+        made = [shingles(text.as_py(), words, known) for text in batch.column("text")]
         return pa.RecordBatch.from_arrays(
             [pa.array(map(_name, made), pa.int64()), pa.array(map(len, made), pa.int64()),
              pa.array([_wide(m) for m in made], pa.list_(pa.int64())),
@@ -355,7 +370,7 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10
     """
     if not den / 2 < num < den:
         raise ValueError("the similarity must lie between 1/2 and 1")
-    with brief_shuffles(docs.sparkSession):
+    with brief_shuffles(docs.sparkSession), small_batches(docs.sparkSession):
         return _classes(docs, words, num, den, id_column, text)
 
 

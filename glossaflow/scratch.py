@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 SHUFFLE_CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Rows that a Parquet scan decodes at once, and rows handed to a Python worker at once.
+BATCH_SETTINGS = ("spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch")
+BATCH_ROWS = 512
 # Folders handed out in each open scope.
 _scopes: list[list[str]] = []
 
@@ -88,6 +91,21 @@ def brief_shuffles(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(SHUFFLE_CLEANUP_SETTING, before)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Have scans and Python workers of this session take ``BATCH_ROWS`` rows at a time, or fewer if it is set so: rows with long
+    texts or lists by the thousand are arrays of many megabytes, several at once for every running task."""
+    before = {name: spark.conf.get(name) for name in BATCH_SETTINGS}
+    for name, rows in before.items():
+        if not 0 < int(rows) <= BATCH_ROWS:
+            spark.conf.set(name, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        for name, rows in before.items():
+            spark.conf.set(name, rows)
+
+
 def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back: later steps neither repeat its work nor depend on its lineage."""
     spark = df.sparkSession
