@@ -60,12 +60,18 @@ FILE_ROWS_BITS = 40
 _BUFFER = 1_000_000
 # Rows of a task's report sent at once.
 _REPORTED = 1 << 15
-_REMEMBERED = 200_000
+_REMEMBERED = 20_000
+# Bytes of words that are hashed many at once (a multiple of eight), and how many.
+_SHORT_WORD = 64
+_WORDS_AT_ONCE = 1 << 16
+# Bits by which a shingle is told from the frequent ones before it is sought among them.
+_FIRST_BITS = 22
+_LANE_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 class _Words(dict):
-    """64-bit hash by word, worked out when first asked for."""
+    """64-bit hash of a word longer than ``_SHORT_WORD``, worked out when first asked for."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) > _REMEMBERED:
@@ -75,25 +81,87 @@ class _Words(dict):
 
 
 def _known(words: int) -> _Words:
-    """The words that this worker remembers; forgotten at the end of a task, as JVM stages follow that need the memory."""
+    """The long words that this worker remembers; forgotten at the end of a task, as JVM stages follow that need the memory."""
     return worker_state("jaccard", words, _Words)
 
 
-def shingles(text: str | None, words: int, known: _Words) -> np.ndarray:
-    """Sorted distinct hashes of the runs of ``words`` words; A-Z are lower-cased, words end at ASCII white space."""
-    parts = text.encode().lower().split() if text else ()
-    if not parts:
-        return np.zeros(0, np.uint64)
-    codes = np.fromiter(map(known.__getitem__, parts), np.uint64, len(parts))
-    span = min(words, len(codes))
-    size = len(codes) - span + 1
+def _word_codes(data: np.ndarray, offsets: np.ndarray, known: _Words) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of texts that lie end to end in ``data``, and where each text's words begin.
+
+    A-Z are lower-cased, words end at ASCII white space. Words are hashed eight bytes at a time, all words at once;
+    only long ones are taken one by one.
+    """
+    size = len(data)
+    lower = np.zeros(-(-size // 8) * 8 + 8, np.uint8)
+    np.add(data, (data - np.uint8(65) < 26).view(np.uint8) << np.uint8(5), out=lower[:size])
+    space = (data == 32) | (data - np.uint8(9) < 5)
+    edge = np.zeros(size + 1, bool)  # where a text begins or the last one ends
+    edge[offsets] = True
+    before, after = edge[:-1].copy(), edge[1:].copy()
+    before[1:] |= space[:-1]
+    after[:-1] |= space[1:]
+    starts, ends = np.flatnonzero(before & ~space), np.flatnonzero(after & ~space) + 1
+    del space, edge, before, after
+    lanes, codes = lower.view(np.uint64), np.empty(len(starts), np.uint64)
+    with np.errstate(over="ignore"):
+        for first in range(0, len(starts), _WORDS_AT_ONCE):
+            begin, length = starts[first : first + _WORDS_AT_ONCE], ends[first : first + _WORDS_AT_ONCE]
+            length = length - begin
+            made = length.astype(np.uint64) * _BASE
+            some, left = slice(None), length
+            for lane in range(0, _SHORT_WORD, 8):
+                if lane:
+                    some = np.flatnonzero((length > lane) & (length <= _SHORT_WORD))
+                    left = length[some] - lane
+                if not len(left):
+                    break
+                at = begin[some] + lane
+                shift = ((at & 7) << 3).astype(np.uint64)
+                at >>= 3
+                bits = (lanes[at] >> shift) | (lanes[np.minimum(at + 1, len(lanes) - 1)] << (np.uint64(63) - shift) << np.uint64(1))
+                made[some] = _mixed(made[some] ^ (bits & _LANE_MASKS[np.minimum(left, 8)]))
+            for i in np.flatnonzero(length > _SHORT_WORD).tolist():
+                made[i] = known[lower[begin[i] : begin[i] + length[i]].tobytes()]
+            codes[first : first + len(made)] = made
+    return codes, np.searchsorted(starts, offsets)
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = values * _BASE
+    return values ^ (values >> np.uint64(29))
+
+
+def _sets_of(texts: pa.Array, words: int, known: _Words) -> list[np.ndarray]:
+    """Of each text the sorted distinct hashes of the runs of ``words`` words; a null text has none."""
+    texts = texts.fill_null("").cast(pa.large_string())
+    _, places, content = texts.buffers()
+    offsets = np.frombuffer(places, np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    data = np.frombuffer(content or b"", np.uint8)[offsets[0] : offsets[-1]]
+    codes, begins = _word_codes(data, offsets - offsets[0], known)
+    whole = _runs(codes, words)
+    made = []
+    for begin, end in zip(begins[:-1].tolist(), begins[1:].tolist()):
+        runs = whole[begin : end - words + 1] if end - begin >= words else _runs(codes[begin:end], end - begin)
+        runs = np.sort(runs)
+        new = np.ones(len(runs), bool)
+        np.not_equal(runs[1:], runs[:-1], out=new[1:])
+        made.append(runs[new])
+    return made
+
+
+def _runs(codes: np.ndarray, span: int) -> np.ndarray:
+    """Hash of the run of ``span`` words that starts at each place."""
+    size = max(len(codes) - span + 1, 0) if span else 0
     total = np.full(size, span, np.uint64)
     with np.errstate(over="ignore"):
         for i in range(span):
-            total = (total ^ codes[i : i + size]) * _BASE
-            total ^= total >> np.uint64(29)
-    total = np.sort(total)
-    return total[np.concatenate([[True], total[1:] != total[:-1]])]
+            total = _mixed(total ^ codes[i : i + size])
+    return total
+
+
+def shingles(text: str | None, words: int, known: _Words) -> np.ndarray:
+    """Sorted distinct hashes of the runs of ``words`` words of one text."""
+    return _sets_of(pa.array([text], pa.string()), words, known)[0]
 
 
 def _name(values: np.ndarray) -> int:
@@ -152,8 +220,7 @@ def _frequencies(rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
         known = _known(words)
         sets, seen, gathered = [], set(), 0
         for batch in text_slices(batches):
-            for text in batch.column("text"):
-                made = shingles(text.as_py(), words, known)
+            for made in _sets_of(batch.column("text"), words, known):
                 name = _name(made)
                 if len(made) and name not in seen:
                     seen.add(name)
@@ -211,15 +278,23 @@ def _fronts(rows: DataFrame, words: int, num: int, den: int, heavy, small_front:
     limit = boundary_size(small_front, num, den) if small_front else 0
     none = np.zeros(0, np.int64)
 
-    def one(values: np.ndarray, table: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    def heavy_ones() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        table, classes = shared.value
+        first_bits = np.zeros(1 << _FIRST_BITS, bool)
+        first_bits[table >> np.uint64(64 - _FIRST_BITS)] = True
+        return table, classes, first_bits
+
+    def one(values: np.ndarray, table: np.ndarray, classes: np.ndarray, first_bits: np.ndarray) -> np.ndarray:
         size = len(values)
         front = front_length(size, num, den)
         ranks = np.zeros(size, np.int8)
-        if len(table):
-            at = np.searchsorted(table, values)
+        # Few of the other shingles begin with the same bits as one of the table; those need no search.
+        maybe = np.flatnonzero(first_bits[values >> np.uint64(64 - _FIRST_BITS)])
+        if len(maybe):
+            at = np.searchsorted(table, values[maybe])
             at[at == len(table)] = 0
-            hit = table[at] == values
-            ranks[hit] = classes[at[hit]]
+            hit = table[at] == values[maybe]
+            ranks[maybe[hit]] = classes[at[hit]]
         # Values are sorted by hash already: a stable sort by class gives the global order.
         chosen = values[np.argsort(ranks, kind="stable")[: front + 1]]
         keys = chosen[:0]
@@ -232,13 +307,12 @@ def _fronts(rows: DataFrame, words: int, num: int, den: int, heavy, small_front:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         known = _known(words)
-        table, classes = worker_state("jaccard-heavy", key, lambda: shared.value)
+        heavy = worker_state("jaccard-heavy", key, heavy_ones)
         sizes, names, keys, bitmaps = [], [], [], []
-        for text in batch.column("text"):
-            values = shingles(text.as_py(), words, known)
+        for values in _sets_of(batch.column("text"), words, known):
             sizes.append(len(values))
             names.append(_name(values))
-            keys.append(one(values, table, classes) if len(values) > 1 else none)
+            keys.append(one(values, *heavy) if len(values) > 1 else none)
             bitmaps.append(_bitmap(values))
         return pa.RecordBatch.from_arrays(
             [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()),
@@ -274,7 +348,7 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         known = _known(words)
-        made = [shingles(text.as_py(), words, known) for text in batch.column("text")]
+        made = _sets_of(batch.column("text"), words, known)
         return pa.RecordBatch.from_arrays(
             [pa.array(map(_name, made), pa.int64()), pa.array(map(len, made), pa.int64()),
              pa.array([_wide(m) for m in made], pa.list_(pa.int64())),
