@@ -91,14 +91,21 @@ def brief_shuffles(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(SHUFFLE_CLEANUP_SETTING, before)
 
 
-@contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Have scans and Python workers of this session take ``BATCH_ROWS`` rows at a time, or fewer if it is set so: rows with long
-    texts or lists by the thousand are arrays of many megabytes, several at once for every running task."""
+def take_small_batches(spark: SparkSession) -> dict[str, str]:
+    """From now on have scans and Python workers of this session take ``BATCH_ROWS`` rows at a time, or fewer if it is set so: rows
+    with long texts or lists by the thousand are arrays of many megabytes, several at once for every running task. Returns
+    the settings before."""
     before = {name: spark.conf.get(name) for name in BATCH_SETTINGS}
     for name, rows in before.items():
         if not 0 < int(rows) <= BATCH_ROWS:
             spark.conf.set(name, str(BATCH_ROWS))
+    return before
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """:func:`take_small_batches` for a while, and the settings before again."""
+    before = take_small_batches(spark)
     try:
         yield
     finally:
