@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from glossaflow.llm.common import Sent, map_batches, quoted, without, worker_state
+from glossaflow.llm.common import Sent, give_back_memory, map_batches, quoted, without, worker_state
 
 UNKNOWN = "und"
 ORDER = 5
@@ -44,6 +44,8 @@ _STEPS = 8  # steps of the sample choice per factor of two
 _WORD = re.compile(r"[^\W\d_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _REMEMBERED = 400_000
+# Words whose characters are hashed at once when models are trained.
+_WORDS_AT_ONCE = 1 << 13
 
 
 def words_of(text: str | None) -> list[str]:
@@ -74,6 +76,26 @@ def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, (table[at] == wanted) if len(table) else np.zeros(len(wanted), bool)
 
 
+@dataclass
+class _Grams:
+    """The distinct n-grams of one length, by their hashes."""
+
+    hashes: np.ndarray
+    counts: np.ndarray  # hashes x languages
+    shorter: np.ndarray  # hash without the first character
+    before: np.ndarray  # hash without the last character
+    initial: np.ndarray  # whether it stands at the start of a word
+
+    def joined(self, other: _Grams) -> _Grams:
+        both = np.concatenate([self.hashes, other.hashes])
+        hashes, first, place = np.unique(both, return_index=True, return_inverse=True)
+        counts = np.zeros((len(hashes), self.counts.shape[1]))
+        counts[place[: len(self.hashes)]] = self.counts
+        counts[place[len(self.hashes) :]] += other.counts
+        rest = (np.concatenate([getattr(self, name), getattr(other, name)])[first] for name in ("shorter", "before", "initial"))
+        return _Grams(hashes, counts, *rest)
+
+
 @dataclass
 class Models:
     """Models of all languages, and how sure they are."""
@@ -92,43 +114,54 @@ class Models:
     @classmethod
     def train(cls, counts: dict[tuple[str, str], int], order: int = ORDER) -> Models:
         """``counts`` holds how often each (language, word) occurs."""
-        model = cls(sorted({language for language, _ in counts}), order)
+        labels, words = zip(*counts) if counts else ((), ())
+        return cls.train_table(pa.table({"label": pa.array(labels, pa.string()), "word": pa.array(words, pa.string()),
+                                         "n": pa.array(counts.values(), pa.int64())}), order)
+
+    @classmethod
+    def train_table(cls, counts: pa.Table, order: int = ORDER) -> Models:
+        """``counts`` holds how often each word of a language occurs: ``(label, word, n)``.
+
+        Characters are hashed for ``_WORDS_AT_ONCE`` words at a time; only the tables of distinct n-grams stay.
+        """
+        counts = counts.sort_by([("label", "ascending"), ("word", "ascending")])
+        model = cls(counts.column("label").unique().to_pylist(), order)
         if not model.languages:
             return model
-        number = {language: i for i, language in enumerate(model.languages)}
-        keys = sorted(counts)
-        owner, place, codes, grams = _hashes([word for _, word in keys], order)
-        language = np.array([number[name] for name, _ in keys])[owner]
-        weight = np.array([counts[key] for key in keys], float)[owner]
         wide = len(model.languages)
-        found, tables = [None], [None]
-        for k in range(1, order + 1):
-            # An n-gram ends at a predicted character; the leading blank is context only.
-            ends = np.flatnonzero(place >= max(k - 1, 1))
-            table, first, inverse = np.unique(grams[k][ends], return_index=True, return_inverse=True)
-            matrix = np.bincount(inverse * wide + language[ends], weight[ends], len(table) * wide)
-            found.append(ends[first])
-            tables.append((table, matrix.reshape(-1, wide)))
+        numbers = pa.compute.index_in(counts.column("label"), pa.array(model.languages, pa.string())).to_numpy()
+        weights = counts.column("n").to_numpy()
+        signs, tables = np.zeros(0, np.uint64), [None] * (order + 1)
+        for start in range(0, counts.num_rows, _WORDS_AT_ONCE):
+            words = counts.column("word").slice(start, _WORDS_AT_ONCE).to_pylist()
+            owner, place, codes, grams = _hashes(words, order)
+            signs = np.union1d(signs, codes)
+            language, weight = numbers[start : start + len(words)][owner], weights[start : start + len(words)][owner]
+            for k in range(1, order + 1):
+                # An n-gram ends at a predicted character; the leading blank is context only.
+                ends = np.flatnonzero(place >= max(k - 1, 1))
+                table, first, inverse = np.unique(grams[k][ends], return_index=True, return_inverse=True)
+                matrix = np.bincount(inverse * wide + language[ends], weight[ends], len(table) * wide)
+                at = ends[first]
+                found = _Grams(table, matrix.reshape(-1, wide), grams[k - 1][at], grams[k - 1][at - 1], place[at] == k - 1)
+                tables[k] = found if tables[k] is None else tables[k].joined(found)
         used = [None] * (order + 1)
-        used[order] = tables[order][1]
+        used[order] = tables[order].counts
         for k in range(order - 1, 0, -1):
             # Shorter n-grams count the characters seen before them; at the start of a word there are none.
-            table, raw = tables[k]
-            longer, matrix = tables[k + 1]
-            below, _ = _find(table, grams[k][found[k + 1]])
+            raw, longer = tables[k].counts, tables[k + 1]
+            below, _ = _find(tables[k].hashes, longer.shorter)
             continued = np.zeros_like(raw)
-            np.add.at(continued, below, (matrix > 0).astype(float))
-            initial = place[found[k]] == k - 1
-            used[k] = np.where(initial[:, None], raw, continued)
-        size = len(np.unique(codes)) + 1
+            np.add.at(continued, below, (longer.counts > 0).astype(float))
+            used[k] = np.where(tables[k].initial[:, None], raw, continued)
+        size = len(signs) + 1
         model.floor = float(-np.log(size))
         lower = None
         for k in range(1, order + 1):
-            table, counted = tables[k][0], used[k]
+            table, counted = tables[k].hashes, used[k]
             ones, twos = (counted == 1).sum(0), (counted == 2).sum(0)
             discount = np.clip(ones / np.maximum(ones + 2 * twos, 1), 0.1, 0.95)
-            before = grams[k - 1][found[k] - 1] if k > 1 else np.zeros(len(table), np.uint64)
-            contexts, group = np.unique(before, return_inverse=True)
+            contexts, group = np.unique(tables[k].before, return_inverse=True)
             total = np.zeros((len(contexts), wide))
             kinds = np.zeros((len(contexts), wide))
             np.add.at(total, group, counted)
@@ -137,7 +170,7 @@ class Models:
             if k == 1:
                 shorter = np.full((len(table), wide), 1.0 / size)
             else:
-                at, _ = _find(tables[k - 1][0], grams[k - 1][found[k]])
+                at, _ = _find(tables[k - 1].hashes, tables[k].shorter)
                 shorter = lower[at]
             probs = np.maximum(counted - discount, 0) / np.maximum(total, 1)[group] + rest[group] * shorter
             lower = probs
@@ -300,8 +333,8 @@ def fit(docs: DataFrame, allowed, label: str = "lang", text: str = "text",
         )
 
     counted = map_batches(drawn.where(F.col("__part") >= CALIBRATION_64THS), count, "label string, word string, n long")
-    rows = counted.groupBy("label", "word").agg(F.sum("n").alias("n")).toArrow().to_pydict()
-    models = Models.train(dict(zip(zip(rows["label"], rows["word"]), rows["n"])), order)
+    models = Models.train_table(counted.groupBy("label", "word").agg(F.sum("n").alias("n")).toArrow(), order)
+    give_back_memory()
     if models.languages:
         kept = drawn.where(F.col("__part") < CALIBRATION_64THS).select("label", "text")
         sent, key = Sent(docs.sparkSession, models), uuid.uuid4().hex
