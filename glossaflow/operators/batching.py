@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import random
 import time
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -211,6 +212,82 @@ def apply_function(df: DataFrame, backend: FunctionBackend) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+class _Waiting:
+    """Rows of one language and block of targets that wait until a call is full."""
+
+    def __init__(self):
+        self.rows: list[pa.RecordBatch] = []
+        self.n = self.size = 0
+
+    def fits(self, size: int, backend: FunctionBackend) -> bool:
+        return not self.n or self.n < backend.batch_rows and self.size + size <= backend.batch_bytes
+
+
+def answer_columns(slot: int) -> dict[str, str]:
+    """The columns that hold the answer to the target at ``slot`` of its block, by their names in a row per target."""
+    return {field.name: f"__{field.name}{slot}" for field in _RESULT}
+
+
+def answer_texts(df: DataFrame, blocks: Sequence[Sequence[str]], backend: FunctionBackend) -> DataFrame:
+    """Translate ``(source, text, __block, ...)`` rows into all targets of their block other than their own language.
+
+    Adds the :func:`answer_columns` of every slot of a block, so that a text and what comes with it are there once,
+    not once per target; slots without a target and the own language are null. Calls are those of :func:`apply_function`:
+    rows of a language wait, across record batches, until a call is full, which then goes to one target after the other.
+    No text is null.
+    """
+    slots = range(len(blocks[0]))
+    added = [StructField(answer_columns(i)[f.name], f.dataType) for i in slots for f in _RESULT]
+    schema = StructType([*df.schema.fields, *added])
+    arrow = to_arrow_schema(schema)
+    types = [f.type for f in list(arrow)[-len(_RESULT):]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = None
+        waiting: dict[tuple[str, int], _Waiting] = {}
+
+        def called(key: tuple[str, int]) -> pa.RecordBatch:
+            nonlocal function
+            function = function or backend.load()
+            source, block = key
+            held = waiting.pop(key).rows
+            columns = [pa.concat_arrays([part.column(c) for part in held]) for c in range(held[0].num_columns)]
+            texts = columns[held[0].schema.get_field_index("text")].to_pylist()
+            for i in slots:
+                target = blocks[block][i] if i < len(blocks[block]) else source
+                if target == source:
+                    columns += [pa.nulls(len(texts), t) for t in types]
+                else:
+                    results = call_in_parts(backend, function, source, target, texts)
+                    columns += [pa.array(values, type=t) for values, t in zip(zip(*results), types)]
+            return pa.RecordBatch.from_arrays(columns, names=arrow.names)
+
+        for batch in batches:
+            sources, of_block = batch.column("source"), batch.column("__block")
+            for source in pc.unique(sources).to_pylist():
+                of_source = batch.filter(pc.equal(sources, source))
+                for block in pc.unique(of_block).to_pylist() if len(blocks) > 1 else [0]:
+                    rows = of_source
+                    if len(blocks) > 1:
+                        rows = of_source.filter(pc.equal(of_source.column("__block"), block))
+                    key, start = (source, block), 0
+                    for i, size in enumerate(pc.binary_length(rows.column("text")).to_pylist()):
+                        held = waiting.setdefault(key, _Waiting())
+                        if not held.fits(size, backend):
+                            held.rows.append(rows.slice(start, i - start))
+                            yield called(key)
+                            held, start = waiting.setdefault(key, _Waiting()), i
+                        held.n += 1
+                        held.size += size
+                    if start < rows.num_rows:
+                        # what waits is a copy of its rows, not the batch they came in
+                        held.rows.append(rows.take(pa.array(range(start, rows.num_rows))))
+        for key in list(waiting):
+            yield called(key)
+
+    return df.mapInArrow(run, schema)
+
+
 def batched_map(
     df: DataFrame,
     function: Callable[[dict[str, list]], dict[str, list]],

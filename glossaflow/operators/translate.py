@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 
 from glossaflow.functions.text import ENGLISH, SplitRules, merge_sentences, split_sentences, strip_newlines
 from glossaflow.operators.backends import LexiconBackend, MemoryBackend, NativeBackend, candidate_rank
-from glossaflow.operators.batching import FunctionBackend, apply_function, callers
+from glossaflow.operators.batching import FunctionBackend, answer_columns, answer_texts, apply_function, callers
 from glossaflow.operators.skew import MIN_HOT_ROWS, fits_broadcast, hashed, hot_keys, id_join, lookup_join
 from glossaflow.registry.languages import literal_list
-from glossaflow.scratch import path_exists, scratch_folder, stage
+from glossaflow.scratch import brief_shuffles, path_exists, scratch_folder, stage
 
 Backend = NativeBackend | MemoryBackend | LexiconBackend | FunctionBackend
 
@@ -38,6 +38,9 @@ UNDETERMINED = "und"
 # Targets handled together; bounds what one text can grow to inside a task.
 TARGETS_PER_BLOCK = 16
 
+# For tables of texts and their translations, which repeat each other.
+COMPRESSION = "zstd"
+
 
 @dataclass(frozen=True)
 class Cutting:
@@ -382,6 +385,13 @@ def _ask(texts: DataFrame, targets: Sequence[str], backend: FunctionBackend, sto
     return spark.read.schema(answers.schema).parquet(store).where(F.col("target").isin(list(targets)))
 
 
+def _answered(texts: DataFrame, targets: Sequence[str], backend: FunctionBackend, folder: str | None = None) -> DataFrame:
+    """The answers to distinct texts, which lie as they are to be called, as a table with a row per text and block."""
+    with brief_shuffles(texts.sparkSession):
+        answers = answer_texts(_with_block(texts, targets), _blocks(targets), backend)
+        return stage(answers, "translations", folder, COMPRESSION)
+
+
 def distinct_units(units: DataFrame) -> DataFrame:
     """``(source, text, n_rows)`` of ``(source, text)`` rows; null texts are left out."""
     return units.where(F.col("text").isNotNull()).groupBy("source", "text").agg(F.count("*").alias("n_rows"))
@@ -396,8 +406,24 @@ def translate_units(
     translation, n_rows, status, attempts, error)``, one row per wanted text and target: an ``ok`` answer if there is one.
     """
     texts = distinct_units(with_known_source(units))
-    stored = _ask(texts, targets, backend, store or f"{scratch_folder(units.sparkSession)}/translations")
     kept = ["translation", "status", "attempts", "error"]
+    if store is None:
+        # a table of this call alone holds one answer to each text and target: nothing to choose from, nothing to join
+        targets = list(dict.fromkeys(targets))
+        answers = _answered(texts.repartition(callers(texts, backend), "source", "text"), targets, backend)
+        names = [answer_columns(i) for i in range(len(_blocks(targets)[0]))]
+        slots = [
+            F.struct(
+                F.get(_block_targets(targets), F.lit(i)).alias("target"),
+                *[F.col(c).alias(name) for name, c in columns.items()],
+            )
+            for i, columns in enumerate(names)
+        ]
+        rows = answers.select("source", "text", "n_rows", F.inline(F.array(*slots)))
+        return rows.where("target is not null and target != source").select(
+            "source", "target", "text", "translation", "n_rows", *kept[1:]
+        )
+    stored = _ask(texts, targets, backend, store)
     best = F.max_by(F.struct(*kept), F.struct(F.col("status") == "ok", "attempts", "translation"))
     one = stored.groupBy("source", "text", "target").agg(best.alias("__best"))
     return one.join(texts, ["source", "text"]).select(

@@ -113,9 +113,9 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, rows)
 
 
-def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str, folder: str | None = None, compression: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back: later steps neither repeat its work nor depend on its lineage."""
     spark = df.sparkSession
     path = f"{folder or scratch_folder(spark)}/{name}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
