@@ -9,8 +9,9 @@ The shape of the job follows the backend:
   as a text. Targets travel in blocks, as a short array per unit, and a row per target is made of finished texts
   only, so a corpus with a hundred targets does not shuffle a hundred copies of its units.
 * A word list meets the words as they are, which are shorter than an id.
-* A function backend is called once per distinct unit and target. The answers are written as a table,
-  which then serves as a memory.
+* A function backend is called once per distinct unit and target. The answers are written as a table that also holds
+  the places of each unit; from there the translations go back to the rows of the texts, a part of the rows at a time.
+  Answers in a store that outlives the call serve as a memory instead.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from glossaflow.operators.backends import LexiconBackend, MemoryBackend, NativeB
 from glossaflow.operators.batching import FunctionBackend, answer_columns, answer_texts, apply_function, callers
 from glossaflow.operators.skew import MIN_HOT_ROWS, fits_broadcast, hashed, hot_keys, id_join, lookup_join
 from glossaflow.registry.languages import literal_list
-from glossaflow.scratch import brief_shuffles, path_exists, scratch_folder, stage
+from glossaflow.scratch import brief_shuffles, discard, path_exists, scratch_folder, stage
 
 Backend = NativeBackend | MemoryBackend | LexiconBackend | FunctionBackend
 
@@ -41,6 +42,10 @@ TARGETS_PER_BLOCK = 16
 # For tables of texts and their translations, which repeat each other.
 COMPRESSION = "zstd"
 
+# Parts in which units go to the function and translations back to their texts, from MIN_HOT_ROWS units on: the shuffle
+# files of one part are gone before the next begins.
+PARTS = 3
+
 
 @dataclass(frozen=True)
 class Cutting:
@@ -150,13 +155,17 @@ def _lookup_side(table: DataFrame, targets: Sequence[str], keys: Sequence[str])
     )
 
 
+def _n_units(n_keys: int) -> Column:
+    return sum((F.coalesce(F.array_size(f"__units{i}"), F.lit(0)) for i in range(n_keys)), F.lit(0))
+
+
 def _finished(
     ready: DataFrame, rest: Sequence[str], keys: Sequence[str], targets: Sequence[str], keep_missing: bool
 ) -> DataFrame:
     """One row per target of a row's block, with finished texts.
 
     ``ready`` holds, for the i-th key, ``__present<i>``, the array ``__units<i>`` and the aligned array ``__hits<i>`` of
-    translations by slot. All texts of a block are made in the row, slot by slot; the row per target gets its own ones only.
+    translations by slot; where no unit is kept for want of a translation, the units may be left out if ``__n_units`` counts them. All texts of a block are made in the row, slot by slot; the row per target gets its own ones only.
     """
     slots = F.lit(list(range(len(_blocks(targets)[0]))))
 
@@ -175,7 +184,7 @@ def _finished(
             *[n.cast("long").alias(name) for name, n in absent.items()],
         )
 
-    n_units = sum((F.size(f"__units{i}") for i in range(len(keys))), F.lit(0))
+    n_units = F.col("__n_units") if "__n_units" in ready.columns else _n_units(len(keys))
     made = ready.withColumns({"__made": F.transform(slots, at), "n_units": n_units.cast("long")})
     present = [f"__present{i}" for i in range(len(keys))]
     fanned = made.select(*rest, *present, "n_units", F.inline("__made")).where("target is not null and target != source")
@@ -196,16 +205,18 @@ def _finished(
     )
 
 
-def cut_once(df: DataFrame, keys: Sequence[str], cutting: Cutting, own: Sequence[str]) -> tuple[DataFrame, int]:
+def cut_once(
+    df: DataFrame, keys: Sequence[str], cutting: Cutting, own: Sequence[str], folder: str | None = None
+) -> tuple[DataFrame, int]:
     """The texts as arrays of units, written: ``__units<i>`` for the i-th key; and the number of units. Rows whose
     language is among ``own`` keep their texts in ``__own``."""
     rest = [c for c in df.columns if c not in keys]
     originals = F.when(F.col("source").isin(list(own)), F.struct(*keys)).alias("__own")
     units = {f"__units{i}": cutting.units(F.col(k)) for i, k in enumerate(keys)}
     counted = Observation()
-    n = sum((F.coalesce(F.array_size(name), F.lit(0)) for name in units), F.lit(0))
+    n = _n_units(len(keys))
     rows = df.select(*rest, *[u.alias(name) for name, u in units.items()], originals)
-    cut = stage(rows.observe(counted, F.sum(n.cast("long")).alias("n")), "cut")
+    cut = stage(rows.observe(counted, F.sum(n.cast("long")).alias("n")), "cut", folder, COMPRESSION)
     return cut, counted.get["n"] or 0
 
 
@@ -245,11 +256,6 @@ def _translate_by_content(
     joined = id_join(units, side, [*ID, *_block_key(targets)], F.xxhash64("row_id", "__key", "__pos"), hot)
     found = F.struct("__key", "__pos", "__hits")
     merged = joined.groupBy("row_id", "__block").agg(F.sort_array(F.collect_list(found)).alias("__found"))
-
-    def hits(i: int) -> Column:
-        mine = F.filter("__found", lambda u: u["__key"] == i) if len(keys) > 1 else F.col("__found")
-        return F.coalesce(F.transform(mine, lambda u: u["__hits"]), F.array().cast("array<array<string>>"))
-
     nothing = F.array().cast("array<string>")
     rows = _with_block(cut.drop("__own"), targets)
     ready = rows.join(merged, ["row_id", "__block"], "left").select(
@@ -257,13 +263,93 @@ def _translate_by_content(
         "__block",
         *[F.col(f"__units{i}").isNotNull().alias(f"__present{i}") for i in range(len(keys))],
         *[F.coalesce(f"__units{i}", nothing).alias(f"__units{i}") for i in range(len(keys))],
-        *[hits(i).alias(f"__hits{i}") for i in range(len(keys))],
+        *[_hits_of_key(i, len(keys)).alias(f"__hits{i}") for i in range(len(keys))],
     )
     if rebalance is not None:
         ready = ready.hint("rebalance", "__block", *rebalance)
     return _finished(ready, rest, keys, targets, keep_missing)
 
 
+def _hits_of_key(i: int, n_keys: int) -> Column:
+    mine = F.filter("__found", lambda u: u["__key"] == i) if n_keys > 1 else F.col("__found")
+    return F.coalesce(F.transform(mine, lambda u: u["__hits"]), F.array().cast("array<array<string>>"))
+
+
+def _translate_by_calls(
+    cut: DataFrame,
+    n_units: int,
+    keys: Sequence[str],
+    targets: Sequence[str],
+    backend: FunctionBackend,
+    hot: Sequence[int] | None,
+    rebalance: Sequence[str] | None,
+    folder: str,
+) -> tuple[DataFrame, DataFrame]:
+    """The rows translated by calls whose answers serve this run alone, and the rows of ``cut`` without their units.
+
+    A row of the answers knows the places of its text, so translations go straight back to their rows: answers are
+    neither aggregated nor joined with the units. Only those of hot units, which have too many places for one row, are
+    sent to all tasks and joined. ``cut`` and the answers are deleted when they are used up.
+    """
+    spark, n_parts = cut.sparkSession, PARTS if n_units >= MIN_HOT_ROWS else 1
+    place = F.struct("row_id", "__key", "__pos")
+    units = _units_of_cut(cut, len(keys)).select("*", *content_id(F.col("source"), F.col("text")))
+    if hot is None:
+        hot = hot_keys(cut, lambda rows: _units_of_cut(rows, len(keys)).select(*content_id(F.col("source"), F.col("text"))),
+                       ["__id"], F.col("__id")) if n_units >= MIN_HOT_ROWS else ()
+    is_hot = F.col("__id").isin(list(hot))
+    for part in range(n_parts):
+        of_part = units.where(F.pmod("__id", F.lit(n_parts)) == part) if n_parts > 1 else units
+        texts = of_part.groupBy(*ID).agg(
+            F.first("source").alias("source"), F.first("text").alias("text"),
+            F.collect_list(F.when(~is_hot, place) if hot else place).alias("__places"),
+        )
+        dealt = texts.repartition(callers(texts, backend), *ID)
+        written = _answered(dealt, targets, backend, f"{folder}/answers/part{part}", ["source", "text"])
+    answers = spark.read.schema(written.schema).parquet(f"{folder}/answers/*/translations").withColumn(
+        "__hits", F.col("__answers.translation")
+    )
+    units_of_hot = stage(units.where(is_hot).select("row_id", "__key", "__pos", *ID), "hot", folder) if hot else None
+    units_kept = [F.when(F.col("row_id").isNull(), F.col(f"__units{i}")) for i in range(len(keys))]
+    rows = stage(cut.select(
+        *[c for c in cut.columns if not c.startswith("__units")],
+        *[F.col(f"__units{i}").isNotNull().alias(f"__present{i}") for i in range(len(keys))],
+        *[u.alias(f"__units{i}") for i, u in enumerate(units_kept)],
+        _n_units(len(keys)).alias("__n_units"),
+    ), "rows", folder, COMPRESSION)
+    discard(spark, folder, "cut")
+    rest = [c for c in cut.columns if not c.startswith("__")]
+    found = answers.select("__block", F.explode("__places").alias("__place"), "__hits").select(
+        "__place.*", "__block", "__hits"
+    )
+    if hot:
+        of_hot = F.broadcast(answers.where(is_hot).select(*ID, "__block", "__hits"))
+        found = found.unionByName(units_of_hot.join(of_hot, ID).select("row_id", "__key", "__pos", "__block", "__hits"))
+    nothing = F.array().cast("array<string>")
+    of_row = F.pmod(F.xxhash64("row_id"), F.lit(n_parts))
+    for part in range(n_parts):
+        # the texts come together in one shuffle; adaptive coalescing may join its partitions
+        merged = found.where(of_row == part).repartition("row_id").groupBy("row_id", *_block_key(targets)).agg(
+            F.sort_array(F.collect_list(F.struct("__key", "__pos", "__hits"))).alias("__found")
+        )
+        here = _with_block(rows.drop("__own").where(of_row == part), targets)
+        ready = here.join(merged, ["row_id", *_block_key(targets)], "left").select(
+            *rest,
+            "__block",
+            "__n_units",
+            *[f"__present{i}" for i in range(len(keys))],
+            *[F.coalesce(f"__units{i}", nothing).alias(f"__units{i}") for i in range(len(keys))],
+            *[_hits_of_key(i, len(keys)).alias(f"__hits{i}") for i in range(len(keys))],
+        )
+        with brief_shuffles(spark):
+            stage(ready, f"part{part}", f"{folder}/ready", COMPRESSION)
+    discard(spark, folder, "answers", "hot")
+    done = spark.read.schema(ready.schema).parquet(f"{folder}/ready/*")
+    if rebalance is not None:
+        done = done.hint("rebalance", "__block", *rebalance)
+    return _finished(done, rest, keys, targets, False), rows
+
+
 def _translate_by_words(
     df: DataFrame,
     keys: Sequence[str],
@@ -385,11 +471,16 @@ def _ask(texts: DataFrame, targets: Sequence[str], backend: FunctionBackend, sto
     return spark.read.schema(answers.schema).parquet(store).where(F.col("target").isin(list(targets)))
 
 
-def _answered(texts: DataFrame, targets: Sequence[str], backend: FunctionBackend, folder: str | None = None) -> DataFrame:
+def _answered(
+    texts: DataFrame, targets: Sequence[str], backend: FunctionBackend, folder: str | None = None, drop: Sequence[str] = ()
+) -> DataFrame:
     """The answers to distinct texts, which lie as they are to be called, as a table with a row per text and block."""
+    answers = answer_texts(_with_block(texts, targets), _blocks(targets), backend)
+    # side by side, as translations of one text repeat each other's names and numbers
+    slots = [F.struct(*[F.col(c).alias(name) for name, c in answer_columns(i).items()]) for i in range(len(_blocks(targets)[0]))]
+    shown = answers.select(*texts.columns, "__block", F.array(*slots).alias("__answers")).drop(*drop)
     with brief_shuffles(texts.sparkSession):
-        answers = answer_texts(_with_block(texts, targets), _blocks(targets), backend)
-        return stage(answers, "translations", folder, COMPRESSION)
+        return stage(shown, "translations", folder, COMPRESSION)
 
 
 def distinct_units(units: DataFrame) -> DataFrame:
@@ -411,15 +502,10 @@ def translate_units(
         # a table of this call alone holds one answer to each text and target: nothing to choose from, nothing to join
         targets = list(dict.fromkeys(targets))
         answers = _answered(texts.repartition(callers(texts, backend), "source", "text"), targets, backend)
-        names = [answer_columns(i) for i in range(len(_blocks(targets)[0]))]
-        slots = [
-            F.struct(
-                F.get(_block_targets(targets), F.lit(i)).alias("target"),
-                *[F.col(c).alias(name) for name, c in columns.items()],
-            )
-            for i, columns in enumerate(names)
-        ]
-        rows = answers.select("source", "text", "n_rows", F.inline(F.array(*slots)))
+        slots = F.transform("__answers", lambda answer, i: F.struct(
+            F.get(_block_targets(targets), i).alias("target"), *[answer[c].alias(c) for c in kept]
+        ))
+        rows = answers.select("source", "text", "n_rows", F.inline(slots))
         return rows.where("target is not null and target != source").select(
             "source", "target", "text", "translation", "n_rows", *kept[1:]
         )
@@ -481,18 +567,23 @@ def translate(
                 reduced = pool.submit(_memory_side, backend.table, targets)
                 cut, n_units = cut_once(df, keys, cutting, originals)
                 side, keep_missing = reduced.result(), backend.keep_missing
-        else:
+        elif store is not None:
             cut, n_units = cut_once(df, keys, cutting, originals)
             texts = distinct_units(_units_of_cut(cut, len(keys)))
-            earlier = store is not None and read_store(df.sparkSession, store) is not None
-            stored = _ask(texts, targets, backend, store or f"{scratch_folder(df.sparkSession)}/translations")
+            earlier = read_store(df.sparkSession, store) is not None
+            stored = _ask(texts, targets, backend, store)
             answers = stored.where(F.col("status") == "ok")
             if earlier:  # it may hold far more than this corpus
                 answers = answers.join(texts, ["source", "text"], "left_semi")
             side, keep_missing = _memory_side(answers, targets), False
-        if n_units < MIN_HOT_ROWS and hot is None:
-            hot = ()  # no unit can occur often enough
-        out = _translate_by_content(cut, side, keys, targets, keep_missing, hot, rebalance)
+        else:
+            folder = scratch_folder(df.sparkSession)
+            cut, n_units = cut_once(df, keys, cutting, originals, folder)
+            out, cut = _translate_by_calls(cut, n_units, keys, targets, backend, hot, rebalance, folder)
+        if isinstance(backend, MemoryBackend) or store is not None:
+            if n_units < MIN_HOT_ROWS and hot is None:
+                hot = ()  # no unit can occur often enough
+            out = _translate_by_content(cut, side, keys, targets, keep_missing, hot, rebalance)
         own = cut.where(F.col("__own").isNotNull())
         texts_of_own = [F.col("__own")[k].alias(k) for k in keys]
     else:

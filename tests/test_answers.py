@@ -7,7 +7,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from glossaflow.operators.batching import FunctionBackend, answer_columns, answer_texts
-from glossaflow.operators.translate import TARGETS_PER_BLOCK, translate_units
+from glossaflow.operators.translate import TARGETS_PER_BLOCK, translate, translate_units
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -27,7 +27,8 @@ def numbered():
 
 @pytest.fixture
 def scratch(monkeypatch, tmp_path):
-    monkeypatch.setattr("glossaflow.scratch.scratch_folder", lambda spark: str(tmp_path))
+    for module in ("scratch", "operators.translate"):
+        monkeypatch.setattr(f"glossaflow.{module}.scratch_folder", lambda spark: str(tmp_path))
     return tmp_path
 
 
@@ -100,3 +101,80 @@ def test_units_of_more_targets_than_one_block(spark):
     ).collect()}
     known = [("s", "a"), ("und", "b"), ("t17", "c")]
     assert got == {(s, t, x, f"{s}>{t}") for s, x in known for t in targets if t != s}
+
+
+def marked(source, target, texts):
+    if target == "down":
+        raise RuntimeError("no model")
+    return [None if t == "Odd." and target == "t3" else f"{source}>{target}: {t}" for t in texts]
+
+
+ROWS = [
+    (i, ["en", "t2", None][i % 3], f"note {i}", a, b)
+    for i, (a, b) in enumerate([
+        ("Good day. How are you? Fine.", "Good day."), (None, "Short"), ("", " \n "), ("Fine. Odd.", None),
+        ("Good day. Good day. Good day.", "Fine."), (None, None), *[(f"Good day. Number {i % 4}.", "Good day.") for i in range(30)],
+    ])
+]
+
+
+def by_hand(rows, targets):
+    """One row per row and target, sentence by sentence."""
+    made = {}
+    for i, source, note, a, b in rows:
+        source = source or "und"
+        for target in targets:
+            if source == target:
+                made[i, target] = (source, note, a, b, 0, 0, "copied")
+                continue
+            cut = [[f"{s}." if not s.endswith("Short") else s for s in text.replace("?", "?.").split(".") if s.strip()]
+                   if text is not None else [] for text in (a, b)]
+            cut = [[s.strip().replace("?.", "?") for s in one] for one in cut]
+            found = [[None if target == "down" else marked(source, target, [s])[0] for s in one] for one in cut]
+            n_missed = sum(f is None for one in found for f in one)
+            texts = [None if text is None or None in one else " ".join(one) for text, one in zip((a, b), found)]
+            made[i, target] = (source, note, *texts, sum(map(len, cut)), n_missed, "failed" if n_missed else "ok")
+    return made
+
+
+@pytest.mark.parametrize("way", ["one part", "parts", "hot", "store"])
+@pytest.mark.parametrize("n_targets", [4, TARGETS_PER_BLOCK + 3])
+def test_translations_go_back_to_their_texts(spark, scratch, monkeypatch, way, n_targets):
+    targets = ["down", *[f"t{i}" for i in range(1, n_targets)]]
+    df = spark.createDataFrame(ROWS, "row_id long, source string, note string, a string, b string").repartition(3)
+    if way in ("parts", "hot"):
+        monkeypatch.setattr("glossaflow.operators.translate.MIN_HOT_ROWS", 1)
+    hot = None
+    if way == "hot":
+        hot = [r[0] for r in spark.range(1).selectExpr(
+            "explode(array(xxhash64('en', 'Good day.'), xxhash64('und', 'Fine.'), xxhash64('xx', 'y')))").collect()]
+    backend = FunctionBackend(lambda: marked, batch_rows=5, max_tries=1, give_up_after=2)
+    out = translate(df, ["a", "b"], targets, backend, hot=hot, store=f"{scratch}/store" if way == "store" else None)
+    got = {}
+    for r in out.collect():
+        assert (r["row_id"], r["target"]) not in got
+        got[r["row_id"], r["target"]] = tuple(r[c] for c in ("source", "note", "a", "b", "n_units", "n_missed", "status"))
+    assert got == by_hand(ROWS, targets)
+
+
+def test_finished_texts_wait_in_one_table(spark, scratch, monkeypatch):
+    """Units, answers and shuffles are gone before the result is read, and a hot unit is asked once."""
+    monkeypatch.setattr("glossaflow.operators.translate.MIN_HOT_ROWS", 1)
+    df = spark.createDataFrame([(i, "s", f"Good day. Number {i}.") for i in range(200)], "row_id long, source string, text string")
+
+    def once():
+        def call(source, target, texts):
+            assert len(texts) == len(set(texts))
+            return [f"{target}: {t}" for t in texts]
+
+        return call
+
+    hot = [spark.range(1).selectExpr("xxhash64('s', 'Good day.')").first()[0]]
+    out = translate(df, ["text"], ["s", "t", "u"], FunctionBackend(once), hot=hot)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert sorted(f.name for f in scratch.iterdir()) == ["ready", "rows"]
+    got = {(r["row_id"], r["target"]): r["text"] for r in out.collect()}
+    assert got == {
+        (i, t): f"Good day. Number {i}." if t == "s" else f"{t}: Good day. {t}: Number {i}." for i in range(200) for t in "stu"
+    }
